@@ -16,10 +16,25 @@ from .. import fixed
 MICROS_PER_DAY = 86_400_000_000
 
 
+_SEPARATORS = ("/", ":", "-", " ")
+
+
+def _shape_fits(text: Column, fmt: str) -> Column:
+    """Necessary condition for ``fmt`` to read ``text``: the same separator
+    characters occur in both. It skips attempts that cannot succeed (a
+    failed parse is far costlier than a substring test); results are unchanged."""
+    literal = "".join(part for i, part in enumerate(fmt.split("'")) if i % 2 == 0)
+    tests = [text.contains(ch) if ch in literal else ~text.contains(ch) for ch in _SEPARATORS]
+    out = tests[0]
+    for t in tests[1:]:
+        out = out & t
+    return out
+
+
 def parse_timestamp(c: Column, formats: Sequence[str] = tuple(fixed.DATE_FORMATS)) -> Column:
     """Text -> TIMESTAMP_NTZ using the first format that fits; else NULL."""
     text = c.cast("string")
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
+    parsed = F.coalesce(*[F.when(_shape_fits(text, fmt), F.try_to_timestamp(text, F.lit(fmt))) for fmt in formats])
     return parsed.cast("timestamp_ntz")
 
 

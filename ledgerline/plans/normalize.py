@@ -88,14 +88,17 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     carried = [c for c in (*INPUT_COLUMNS, "toll_free_number", "product_name", "doc_label", row_ord)
                if c in parsed.columns]
     carried = list(dict.fromkeys(carried))
-    recurring_order = F.when(F.col("_recurring"), F.struct(F.col("_order"), ro))
+    # W1 pick: the max of (order among recurring rows, row); non-recurring rows
+    # have a NULL order, which sorts lowest, and are then blanked out.
+    recurring_order = F.when(F.col("_recurring"), F.struct(F.col("_order").alias("o"), ro.alias("r")))
     groups = parsed.groupBy(doc, "_key").agg(
-        F.max_by(F.struct(*carried), recurring_order).alias("w1"),
+        F.max(F.struct(recurring_order.alias("k"), F.struct(*carried).alias("v"))).alias("_w1"),
         F.count(F.lit(1)).alias("g_rows"),
         F.min(F.struct(ro.alias("row"), F.col("invoice_date_norm").alias("date"))).alias("g_first"),
         F.min("_pre_err").alias("g_pre_err"),
         F.max(F.when(F.col("_recurring"), F.col("bill_to_date").isNotNull())).alias("g_has_bill_to"),
     )
+    groups = groups.withColumn("w1", F.when(F.col("_w1.k").isNotNull(), F.col("_w1.v"))).drop("_w1")
     groups = materialize(groups, "w1-groups")
 
     # Money errors on the kept row of each group (P5), known before the gate.

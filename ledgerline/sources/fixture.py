@@ -35,7 +35,10 @@ def billing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey).join(part, li.l_partkey == part.p_partkey)
+    # lineitem x orders is a shuffle (sort-merge) join on the order key, as it
+    # is at scale where neither side is small; its output is spread over the
+    # shuffle partitions even when a file is a single row group.
+    j = li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey).join(part, li.l_partkey == part.p_partkey)
 
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     name = F.col("p_name")
