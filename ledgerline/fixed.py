@@ -225,6 +225,7 @@ DROPPED_COLUMNS = [
 # Error codes (stable texts in place of a traceback), with their stage order:
 # the first stage that fails decides a document's error.
 # ---------------------------------------------------------------------------
+ERR_ROW_TOO_LONG = "ROW_LONGER_THAN_HEADER"
 ERR_DESCRIPTION_MISSING = "DESCRIPTION_MISSING"
 ERR_MARKER_ORDER = "CIRCUIT_AFTER_CUSTOMER_REFERENCE"
 ERR_LISTING_WITHOUT_DASH = "LISTING_WITHOUT_DASH"
@@ -232,6 +233,7 @@ ERR_INVOICE_DATE = "INVOICE_DATE_UNPARSEABLE"
 ERR_CHARGE_AMOUNT = "CHARGE_AMOUNT_NOT_NUMERIC"
 ERR_DISCOUNT_AMOUNT = "DISCOUNT_AMOUNT_NOT_NUMERIC"
 
+STAGE_ROW_SHAPE = 0
 STAGE_DESCRIPTION = 1
 STAGE_INVOICE_DATE = 2
 STAGE_CHARGE_AMOUNT = 3

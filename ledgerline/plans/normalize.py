@@ -72,9 +72,11 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     parsed = parse_charge_description(rows)  # P1
     inv_date, inv_bad = dates.normalize_invoice_date(F.col("invoice_date"), params.date_formats)  # P2
     ro = F.col(row_ord)
+    too_long = F.col("row_too_long") if "row_too_long" in parsed.columns else F.lit(False)
     parsed = parsed.withColumns({
         "invoice_date_norm": inv_date,
-        "_pre_err": F.when(F.col("description_error").isNotNull(),
+        "_pre_err": F.when(too_long, _err(fixed.STAGE_ROW_SHAPE, ro, fixed.ERR_ROW_TOO_LONG))
+                     .when(F.col("description_error").isNotNull(),
                            _err(fixed.STAGE_DESCRIPTION, ro, F.col("description_error")))
                      .when(inv_bad, _err(fixed.STAGE_INVOICE_DATE, ro, fixed.ERR_INVOICE_DATE)),
         "_recurring": ~is_one_time("charge_type"),  # F1
