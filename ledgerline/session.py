@@ -39,11 +39,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is an error, because a machine-local folder would not survive the loss of
     an executor.
     """
-    sc = spark.sparkContext
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Connect session has no SparkContext
+        if conf:
+            return conf
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
