@@ -133,7 +133,7 @@ def upload_sheet(normalized: DataFrame, params: JobParams, stamp_text: Column, d
         F.struct(F.lit(k + 1).cast("long").alias("sheet_row"), *[c.alias(f"_c{i}") for i, c in enumerate(cells)])
         for k, cells in enumerate(rows)
     ])
-    docs = normalized.groupBy(doc).agg(F.first("doc_id").alias("doc_label"))
+    docs = ordered.groupBy(doc).agg(F.first("doc_id").alias("doc_label"))  # from the written, ordered rows
     pre = docs.select(F.col(doc), F.col("doc_label"), F.inline(structs))
     return pre.unionByName(data)
 

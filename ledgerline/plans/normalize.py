@@ -87,8 +87,11 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     })
 
     # 1-2. W1 and per-group partials in one shuffle; written once.
+    # Only what the output needs rides through the shuffle (not the description
+    # text, charge type, invoice date or service number).
+    not_needed = {"charge_description", "charge_type", "invoice_date", "service_number"}
     carried = [c for c in (*INPUT_COLUMNS, "toll_free_number", "product_name", "doc_label", row_ord)
-               if c in parsed.columns]
+               if c in parsed.columns and c not in not_needed]
     carried = list(dict.fromkeys(carried))
     # W1 pick: the max of (order among recurring rows, row); non-recurring rows
     # have a NULL order, which sorts lowest, and are then blanked out.
