@@ -134,3 +134,21 @@ def test_run_document_checks(spark, tmp_path):
     assert [f["document_id"] for f in rec["files"]] == [n.split("-")[2] for n in names] and rec["summary"] == "EOF"
     log = [r.log_entry for r in res.error_log.orderBy("log_ord").collect()]
     assert log[0] == "File=DOC-2-bbbb-missing.csv, Error=Charge Amount, Invoice Date,  are missing."
+
+
+def test_status_rows_and_sheet_rows(spark):
+    from ledgerline.plans import catalog
+    from ledgerline.operators.sheet import PREAMBLE_ROWS, upload_sheet
+    from ledgerline.functions.dates import stamp
+    from conftest import SF_SMALL
+    st = catalog.fixture_status(spark, SF_SMALL)
+    manifest = catalog.fixture.fixture_manifest(spark, SF_SMALL)
+    assert st.count() == manifest.count() == st.select("document_id").distinct().count()
+    norm = catalog.flagship(spark, SF_SMALL)
+    sheet = upload_sheet(norm, JobParams(), stamp(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")))
+    n_docs = norm.select("document_id").distinct().count()
+    assert sheet.count() == norm.count() + PREAMBLE_ROWS * n_docs
+    # sheet rows per document are 1..n without gaps
+    per_doc = sheet.groupBy("document_id").agg(F.count("*").alias("n"), F.max("sheet_row").alias("m"),
+                                               F.countDistinct("sheet_row").alias("d"))
+    assert per_doc.filter((F.col("n") != F.col("m")) | (F.col("n") != F.col("d"))).count() == 0
