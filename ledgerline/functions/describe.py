@@ -114,3 +114,16 @@ def parse_charge_description(
             name_col: F.when(error.isNull(), name),
         }
     ).drop("_d_head", "_d_tail")
+
+
+def description_error(desc: Column) -> Column:
+    """The P1 error code alone (no split of the text beyond the one test that
+    needs it): for checks over every row when the identifier and product
+    name are only needed for some rows."""
+    b = description_branch(desc)
+    head_cri = F.split_part(desc, F.lit(fixed.MARK_CUSTOMER_REF), F.lit(1))
+    return (
+        F.when(desc.isNull(), F.lit(fixed.ERR_DESCRIPTION_MISSING))
+        .when((b == BRANCH_CIRCUIT_AND_CUSTOMER_REF) & ~head_cri.contains(fixed.MARK_CIRCUIT), F.lit(fixed.ERR_MARKER_ORDER))
+        .when((b == BRANCH_WHITE_PAGES) & ~desc.contains("-"), F.lit(fixed.ERR_LISTING_WITHOUT_DASH))
+    )

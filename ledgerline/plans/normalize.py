@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import dates, money, text
-from ..functions.describe import parse_charge_description
+from ..functions.describe import description_error, parse_charge_description
 from ..operators import contract
 from ..operators.dedupe import bill_to_for_frequency, bill_to_order
 from ..operators.filters import is_one_time
@@ -69,7 +69,9 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     rows = contract.add_optional(rows)  # C4
     label_src = F.col(file_col) if file_col else F.col(doc)
 
-    parsed = parse_charge_description(rows)  # P1
+    # P1 errors on every row; the identifier and product name are split out
+    # after W1, for the kept rows only.
+    parsed = rows.withColumn("description_error", description_error(F.col("charge_description")))
     inv_date, inv_bad = dates.normalize_invoice_date(F.col("invoice_date"), params.date_formats)  # P2
     ro = F.col(row_ord)
     too_long = F.col("row_too_long") if "row_too_long" in parsed.columns else F.lit(False)
@@ -87,10 +89,10 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     })
 
     # 1-2. W1 and per-group partials in one shuffle; written once.
-    # Only what the output needs rides through the shuffle (not the description
-    # text, charge type, invoice date or service number).
-    not_needed = {"charge_description", "charge_type", "invoice_date", "service_number"}
-    carried = [c for c in (*INPUT_COLUMNS, "toll_free_number", "product_name", "doc_label", row_ord)
+    # Only what the output needs rides through the shuffle (not the charge
+    # type, invoice date or service number).
+    not_needed = {"charge_type", "invoice_date", "service_number"}
+    carried = [c for c in (*INPUT_COLUMNS, "doc_label", row_ord)
                if c in parsed.columns and c not in not_needed]
     carried = list(dict.fromkeys(carried))
     # W1 pick: the max of (order among recurring rows, row); non-recurring rows
@@ -130,6 +132,7 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     good_docs = doc_stats.filter(F.col("pre_error").isNull() & F.col("post_error").isNull()).select(
         doc, "extraction_date", "has_bill_to")
     kept = groups.filter(F.col("g_kept")).select(doc, "w1.*").join(good_docs, doc, "inner")
+    kept = parse_charge_description(kept)  # P1 identifier and product name
     charge, _ = money.clean_money(F.col("charge_amount"), params.paren_negative)
     discount, _ = money.clean_money(F.col("discount_amount"), params.paren_negative)
     units = money.units_number(money.floor_units(F.col("units")))  # P6, P7
