@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.params import JobParams
 from ledgerline.streaming.incremental import start_incremental
-from test_pipeline import _write_csv
+from test_job import _write_csv
 
 HEADER = ["Billing Account Number", "Charge Description", "Charge Amount", "Discount Amount", "Invoice Date",
           "Bill From Date", "Bill To Date", "Units"]
