@@ -78,9 +78,13 @@ def parse_charge_description(
         }
     )
     head, tail = F.col("_d_head"), F.col("_d_tail")
-    # Identifier and remainder of the tail, split on '-' (a, b, e, f) or ' ' (c, d).
-    dash_first = F.split_part(tail, F.lit("-"), F.lit(1))
-    space_first = F.split_part(tail, F.lit(" "), F.lit(1))
+    # Identifier and remainder of the tail, split on '-' (a, b, e, f) or ' ' (c, d);
+    # kept as columns because identifier and name both use them.
+    staged = staged.withColumns({
+        "_d_dash1": F.split_part(tail, F.lit("-"), F.lit(1)),
+        "_d_space1": F.split_part(tail, F.lit(" "), F.lit(1)),
+    })
+    dash_first, space_first = F.col("_d_dash1"), F.col("_d_space1")
     dash_rest = _after_first(tail, dash_first, "-")
     space_rest = _after_first(tail, space_first, " ")
     circuit_head = F.split_part(head, F.lit(fixed.MARK_CIRCUIT), F.lit(1))
@@ -113,7 +117,7 @@ def parse_charge_description(
             id_col: F.when(error.isNull(), ident),
             name_col: F.when(error.isNull(), name),
         }
-    ).drop("_d_head", "_d_tail")
+    ).drop("_d_head", "_d_tail", "_d_dash1", "_d_space1")
 
 
 def description_error(desc: Column) -> Column:

@@ -64,3 +64,34 @@ def service_quantity(units: Column) -> Column:
     """P10: half-even rounded units, missing -> 0, then 0 -> 1."""
     q = F.rint(F.coalesce(units, F.lit(0.0))).try_cast("long")
     return F.when(q == 0, F.lit(1).cast("long")).otherwise(q)
+
+
+# Step forms of the rules above, for plans that keep each intermediate value
+# in its own column. A value used twice inside CASE branches is otherwise
+# inlined and evaluated twice (subexpression elimination does not reach into
+# conditional branches); a column referenced twice is computed once.
+
+def money_text(c: Column) -> Column:
+    """P5 step 1: strip whitespace, '$', '(', ')' and ','."""
+    return F.regexp_replace(c, fixed.MONEY_STRIP_PATTERN, "")
+
+
+def floor_units_text(text: Column) -> Column:
+    """P6 on units text already canonical (``units_text``); missing -> 'nan'."""
+    t = F.coalesce(text, F.lit("nan"))
+    return F.when(t < F.lit("1"), F.lit("1.00")).otherwise(t)
+
+
+def units_strip(floored: Column) -> Column:
+    """P7 step 1: remove - whitespace ; , : _ ( ) /."""
+    return F.regexp_replace(floored, fixed.UNITS_STRIP_PATTERN, "")
+
+
+def rounded_units(units: Column) -> Column:
+    """P10 step 1: half-even rounded units, missing -> 0."""
+    return F.rint(F.coalesce(units, F.lit(0.0))).try_cast("long")
+
+
+def quantity_from_rounded(q: Column) -> Column:
+    """P10 step 2: 0 -> 1."""
+    return F.when(q == 0, F.lit(1).cast("long")).otherwise(q)

@@ -133,27 +133,42 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
         doc, "extraction_date", "has_bill_to")
     kept = groups.filter(F.col("g_kept")).select(doc, "w1.*").join(good_docs, doc, "inner")
     kept = parse_charge_description(kept)  # P1 identifier and product name
-    charge, _ = money.clean_money(F.col("charge_amount"), params.paren_negative)
-    discount, _ = money.clean_money(F.col("discount_amount"), params.paren_negative)
-    units = money.units_number(money.floor_units(F.col("units")))  # P6, P7
+    # Each reused value gets its own column (computed once per row).
     staged = kept.withColumns({
-        "_units": units,
-        "_cost": money.unit_cost(charge, discount, units),  # P8
+        "_charge_t": money.money_text(F.col("charge_amount")),
+        "_discount_t": money.money_text(F.col("discount_amount")),
+        "_units_t": money.units_text(F.col("units")),
         "_to": bill_to_for_frequency(dates.parse_timestamp(F.col("bill_to_date"), params.date_formats),
                                      F.col("bill_to_date"), F.col("has_bill_to")),  # P4, P11
-        "_from": dates.parse_timestamp(F.col("bill_from_date"), params.date_formats),
+        "_from": dates.parse_timestamp(F.col("bill_from_date"), params.date_formats),  # P11
+    })
+    staged = staged.withColumns({
+        "_charge": money.guarded_double(F.col("_charge_t")),  # P5
+        "_discount": money.guarded_double(F.col("_discount_t")),
+        "_units_s": money.units_strip(money.floor_units_text(F.col("_units_t"))),  # P6, P7
+        "_freq": dates.billing_frequency(F.col("_to"), F.col("_from")),  # P12
+    })
+    if params.paren_negative:
+        staged = staged.withColumns({
+            "_charge": F.when(F.col("charge_amount").contains("("), -F.col("_charge")).otherwise(F.col("_charge")),
+            "_discount": F.when(F.col("discount_amount").contains("("), -F.col("_discount")).otherwise(F.col("_discount")),
+        })
+    staged = staged.withColumn("_units", money.guarded_double(F.col("_units_s")))  # P7
+    staged = staged.withColumns({
+        "_cost": money.unit_cost(F.col("_charge"), F.col("_discount"), F.col("_units")),  # P8
+        "_q": money.rounded_units(F.col("_units")),
     })
     enriched = staged.withColumns({
         "unit_recurring_cost": money.round3(F.col("_cost")),  # P9
-        "service_quantity": money.service_quantity(F.col("_units")),  # P10
-        "billing_frequency": dates.clamp_frequency(dates.billing_frequency(F.col("_to"), F.col("_from"))),  # P12-13
+        "service_quantity": money.quantity_from_rounded(F.col("_q")),  # P10
+        "billing_frequency": dates.clamp_frequency(F.col("_freq")),  # P13
         "currency": text.fill_currency(F.col("currency")),  # P14
         "service_identifier": text.fill_blank(F.col("service_id")),  # P15
         "location_a": text.location_a(F.col("service_address_a"), F.col("location_a_city"),
                                       F.col("location_a_state"), F.col("location_a_country")),  # P16
         "location_b": text.location_b(F.col("service_address_b"), F.col("location_z_city"),
                                       F.col("location_z_state"), F.col("location_z_country"), params.null_token),  # P17
-        "units_order": F.coalesce(money.units_text(F.col("units")), F.lit("nan")),  # O3 tie order
+        "units_order": F.coalesce(F.col("_units_t"), F.lit("nan")),  # O3 tie order
     })
     out = enriched.select(
         F.col(doc),
