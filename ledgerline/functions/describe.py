@@ -120,11 +120,12 @@ def parse_charge_description(
     ).drop("_d_head", "_d_tail", "_d_dash1", "_d_space1")
 
 
-def description_error(desc: Column) -> Column:
+def description_error(desc: Column, branch: Column | None = None) -> Column:
     """The P1 error code alone (no split of the text beyond the one test that
     needs it): for checks over every row when the identifier and product
-    name are only needed for some rows."""
-    b = description_branch(desc)
+    name are only needed for some rows. Pass ``branch`` when it is already a
+    column, so the branch tests run once."""
+    b = branch if branch is not None else description_branch(desc)
     head_cri = F.split_part(desc, F.lit(fixed.MARK_CUSTOMER_REF), F.lit(1))
     return (
         F.when(desc.isNull(), F.lit(fixed.ERR_DESCRIPTION_MISSING))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import dates, money, text
-from ..functions.describe import description_error, parse_charge_description
+from ..functions.describe import description_branch, description_error, parse_charge_description
 from ..operators import contract
 from ..operators.dedupe import bill_to_for_frequency, bill_to_order
 from ..operators.filters import is_one_time
@@ -71,8 +71,13 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
 
     # P1 errors on every row; the identifier and product name are split out
     # after W1, for the kept rows only.
-    parsed = rows.withColumn("description_error", description_error(F.col("charge_description")))
-    inv_date, inv_bad = dates.normalize_invoice_date(F.col("invoice_date"), params.date_formats)  # P2
+    parsed = rows.withColumns({
+        "_branch": description_branch(F.col("charge_description")),
+        "_inv_ts": dates.parse_timestamp(F.col("invoice_date"), params.date_formats),  # P2
+    })
+    parsed = parsed.withColumn("description_error", description_error(F.col("charge_description"), F.col("_branch")))
+    inv_date = F.date_format(F.col("_inv_ts"), "yyyy-MM-dd")
+    inv_bad = F.col("invoice_date").isNotNull() & F.col("_inv_ts").isNull()
     ro = F.col(row_ord)
     too_long = F.col("row_too_long") if "row_too_long" in parsed.columns else F.lit(False)
     parsed = parsed.withColumns({
