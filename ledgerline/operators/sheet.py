@@ -84,10 +84,12 @@ def sheet_order_keys(units_col: str = "units_order", row_ord: str = "row_ord") -
 
 
 def sheet_order(normalized: DataFrame, doc: str = "document_id", out: str = "sheet_order",
-                row_ord: str = "row_ord") -> DataFrame:
+                row_ord: str = "row_ord", pin_input: bool = True) -> DataFrame:
     """Position of each row in its document's sheet, numbered without
-    sending a document to one task (see ``ordered_row_number``)."""
-    return ordered_row_number(normalized, [doc], sheet_order_keys(row_ord=row_ord), out=out)
+    sending a document to one task (see ``ordered_row_number``). The
+    normalized rows are expression-heavy, so they are written once before the
+    range partitioner samples them (``pin_input``)."""
+    return ordered_row_number(normalized, [doc], sheet_order_keys(row_ord=row_ord), out=out, pin_input=pin_input)
 
 
 def _preamble_cells(params: JobParams, stamp_text: Column) -> list[list[Column]]:
