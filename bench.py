@@ -20,7 +20,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerline.plans import catalog  # noqa: E402
-from ledgerline.session import build_session  # noqa: E402
+from ledgerline.session import build_session, cleanup_scratch  # noqa: E402
 
 HEADLINE = [
     "normalize_bills",  # the composed job
@@ -61,6 +61,7 @@ def main() -> None:
         "cpus": int(cpus),
         "warmup_sec": warmup,
     }))
+    cleanup_scratch(spark)  # the intermediate tables this run wrote
     spark.stop()
 
 

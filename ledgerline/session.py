@@ -82,3 +82,16 @@ def plan_settings(spark: SparkSession) -> None:
     here are IS NOT NULL tests that the plan does not need, so it is
     switched off for sessions that run these plans."""
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
+def cleanup_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables (``<checkpoint dir>/scratch``).
+    Call when no DataFrame built on them is used any more (they are lazy over
+    those files). The checkpoint dir of a SparkContext is its own subfolder,
+    so other applications' data is untouched."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/scratch")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
