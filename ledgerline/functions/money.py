@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -95,3 +95,26 @@ def rounded_units(units: Column) -> Column:
 def quantity_from_rounded(q: Column) -> Column:
     """P10 step 2: 0 -> 1."""
     return F.when(q == 0, F.lit(1).cast("long")).otherwise(q)
+
+
+def with_units(df: DataFrame, col: str = "units", prefix: str = "_u") -> DataFrame:
+    """P6 + P7 as staged columns: ``{prefix}_text`` (canonical text, the O3
+    order), ``{prefix}_floored`` (P6) and ``{prefix}_num`` (P7); each regex runs
+    once per row."""
+    df = df.withColumn(f"{prefix}_text", units_text(F.col(col)))
+    df = df.withColumn(f"{prefix}_floored", floor_units_text(F.col(f"{prefix}_text")))
+    df = df.withColumn(f"{prefix}_strip", units_strip(F.col(f"{prefix}_floored")))
+    return df.withColumn(f"{prefix}_num", guarded_double(F.col(f"{prefix}_strip"))).drop(f"{prefix}_strip")
+
+
+def with_money(df: DataFrame, col: str, out: str, paren_negative: bool = False) -> DataFrame:
+    """P5 as staged columns: ``out`` (value) and ``{out}_bad`` (error flag)."""
+    df = df.withColumn(f"{out}_text", money_text(F.col(col)))
+    t = F.col(f"{out}_text")
+    value = guarded_double(t)
+    if paren_negative:
+        value = F.when(F.col(col).contains("("), -value).otherwise(value)
+    return df.withColumns({
+        out: value,
+        f"{out}_bad": F.col(col).isNotNull() & ~t.rlike(PLAIN_NUMBER),
+    }).drop(f"{out}_text")

@@ -206,29 +206,28 @@ SELECT row_id, {O.money_sql('charge_amount')} AS charge_value, {O.money_bad_sql(
   {O.money_sql('discount_amount')} AS discount_value, {O.money_bad_sql('discount_amount')} AS discount_bad
 FROM billing_lines"""))
 def q_p5(spark, sf):
-    cv, cb = money.clean_money(F.col("charge_amount"))
-    dv, db = money.clean_money(F.col("discount_amount"))
-    return billing_lines(spark, sf).select("row_id", cv.alias("charge_value"), cb.alias("charge_bad"),
-                                           dv.alias("discount_value"), db.alias("discount_bad"))
+    d = money.with_money(billing_lines(spark, sf), "charge_amount", "charge_value")
+    d = money.with_money(d, "discount_amount", "discount_value")
+    return d.select("row_id", "charge_value", F.col("charge_value_bad").alias("charge_bad"),
+                    "discount_value", F.col("discount_value_bad").alias("discount_bad"))
 
 
 @register("p6_units_floor", with_billing_lines(f"SELECT row_id, {O.floor_units_sql('units')} AS units_floored FROM billing_lines"))
 def q_p6(spark, sf):
-    return billing_lines(spark, sf).select("row_id", money.floor_units(F.col("units")).alias("units_floored"))
+    return money.with_units(billing_lines(spark, sf)).select("row_id", F.col("_u_floored").alias("units_floored"))
 
 
 @register("p7_units_num", with_billing_lines(
     f"SELECT row_id, {O.units_num_sql(O.floor_units_sql('units'))} AS units_num FROM billing_lines"))
 def q_p7(spark, sf):
-    return billing_lines(spark, sf).select(
-        "row_id", money.units_number(money.floor_units(F.col("units"))).alias("units_num"))
+    return money.with_units(billing_lines(spark, sf)).select("row_id", F.col("_u_num").alias("units_num"))
 
 
-def _cost_parts():
-    charge, _ = money.clean_money(F.col("charge_amount"))
-    discount, _ = money.clean_money(F.col("discount_amount"))
-    units = money.units_number(money.floor_units(F.col("units")))
-    return charge, discount, units
+def _cost_frame(spark, sf):
+    """Lines with charge, discount and units values as staged columns."""
+    d = money.with_money(billing_lines(spark, sf), "charge_amount", "_charge")
+    d = money.with_money(d, "discount_amount", "_discount")
+    return money.with_units(d)
 
 
 COST_SQL = f"""({O.money_sql('charge_amount')} - {O.money_sql('discount_amount')})"""
@@ -238,22 +237,23 @@ UNITS_SQL = O.units_num_sql(O.floor_units_sql("units"))
 @register("p8_unit_cost", with_billing_lines(
     f"SELECT row_id, CASE WHEN {UNITS_SQL} = 0 THEN NULL ELSE {COST_SQL} / {UNITS_SQL} END AS unit_cost FROM billing_lines"))
 def q_p8(spark, sf):
-    c, d, u = _cost_parts()
-    return billing_lines(spark, sf).select("row_id", money.unit_cost(c, d, u).alias("unit_cost"))
+    d = _cost_frame(spark, sf)
+    return d.select("row_id", money.unit_cost(F.col("_charge"), F.col("_discount"), F.col("_u_num")).alias("unit_cost"))
 
 
 @register("p9_round3", with_billing_lines(
     f"SELECT row_id, {O.round3_sql(f'CASE WHEN {UNITS_SQL} = 0 THEN NULL ELSE {COST_SQL} / {UNITS_SQL} END')} "
     "AS unit_recurring_cost FROM billing_lines"))
 def q_p9(spark, sf):
-    c, d, u = _cost_parts()
-    return billing_lines(spark, sf).select("row_id", money.round3(money.unit_cost(c, d, u)).alias("unit_recurring_cost"))
+    d = _cost_frame(spark, sf)
+    d = d.withColumn("_cost", money.unit_cost(F.col("_charge"), F.col("_discount"), F.col("_u_num")))
+    return d.select("row_id", money.round3(F.col("_cost")).alias("unit_recurring_cost"))
 
 
 @register("p10_quantity", with_billing_lines(f"SELECT row_id, {O.quantity_sql(UNITS_SQL)} AS service_quantity FROM billing_lines"))
 def q_p10(spark, sf):
-    u = money.units_number(money.floor_units(F.col("units")))
-    return billing_lines(spark, sf).select("row_id", money.service_quantity(u).alias("service_quantity"))
+    d = money.with_units(billing_lines(spark, sf)).withColumn("_q", money.rounded_units(F.col("_u_num")))
+    return d.select("row_id", money.quantity_from_rounded(F.col("_q")).alias("service_quantity"))
 
 
 @register("p11_coerce_ts", with_billing_lines(

@@ -139,26 +139,18 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     kept = groups.filter(F.col("g_kept")).select(doc, "w1.*").join(good_docs, doc, "inner")
     kept = parse_charge_description(kept)  # P1 identifier and product name
     # Each reused value gets its own column (computed once per row).
-    staged = kept.withColumns({
-        "_charge_t": money.money_text(F.col("charge_amount")),
-        "_discount_t": money.money_text(F.col("discount_amount")),
-        "_units_t": money.units_text(F.col("units")),
+    staged = money.with_money(kept, "charge_amount", "_charge", params.paren_negative)  # P5
+    staged = money.with_money(staged, "discount_amount", "_discount", params.paren_negative)
+    staged = money.with_units(staged, "units", "_u")  # P6, P7
+    staged = staged.withColumns({
         "_to": bill_to_for_frequency(dates.parse_timestamp(F.col("bill_to_date"), params.date_formats),
                                      F.col("bill_to_date"), F.col("has_bill_to")),  # P4, P11
         "_from": dates.parse_timestamp(F.col("bill_from_date"), params.date_formats),  # P11
     })
     staged = staged.withColumns({
-        "_charge": money.guarded_double(F.col("_charge_t")),  # P5
-        "_discount": money.guarded_double(F.col("_discount_t")),
-        "_units_s": money.units_strip(money.floor_units_text(F.col("_units_t"))),  # P6, P7
         "_freq": dates.billing_frequency(F.col("_to"), F.col("_from")),  # P12
+        "_units": F.col("_u_num"),
     })
-    if params.paren_negative:
-        staged = staged.withColumns({
-            "_charge": F.when(F.col("charge_amount").contains("("), -F.col("_charge")).otherwise(F.col("_charge")),
-            "_discount": F.when(F.col("discount_amount").contains("("), -F.col("_discount")).otherwise(F.col("_discount")),
-        })
-    staged = staged.withColumn("_units", money.guarded_double(F.col("_units_s")))  # P7
     staged = staged.withColumns({
         "_cost": money.unit_cost(F.col("_charge"), F.col("_discount"), F.col("_units")),  # P8
         "_q": money.rounded_units(F.col("_units")),
@@ -173,7 +165,7 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
                                       F.col("location_a_state"), F.col("location_a_country")),  # P16
         "location_b": text.location_b(F.col("service_address_b"), F.col("location_z_city"),
                                       F.col("location_z_state"), F.col("location_z_country"), params.null_token),  # P17
-        "units_order": F.coalesce(F.col("_units_t"), F.lit("nan")),  # O3 tie order
+        "units_order": F.coalesce(F.col("_u_text"), F.lit("nan")),  # O3 tie order
     })
     out = enriched.select(
         F.col(doc),
