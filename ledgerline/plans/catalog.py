@@ -173,8 +173,9 @@ for _b in "abcdefghi":
 SELECT row_id, strftime({O.parse_ts('invoice_date')}, '%Y-%m-%d') AS invoice_date_norm,
   (invoice_date IS NOT NULL AND {O.parse_ts('invoice_date')} IS NULL) AS invoice_date_bad FROM billing_lines"""))
 def q_p2(spark, sf):
-    d, bad = dates.normalize_invoice_date(F.col("invoice_date"))
-    return billing_lines(spark, sf).select("row_id", d.alias("invoice_date_norm"), bad.alias("invoice_date_bad"))
+    d = billing_lines(spark, sf).withColumn("_ts", dates.parse_timestamp(F.col("invoice_date")))
+    return d.select("row_id", F.date_format("_ts", "yyyy-MM-dd").alias("invoice_date_norm"),
+                    (F.col("invoice_date").isNotNull() & F.col("_ts").isNull()).alias("invoice_date_bad"))
 
 
 @register("p3_key", with_billing_lines("""
@@ -265,6 +266,11 @@ def q_p11(spark, sf):
         _ts_text(dates.parse_timestamp(F.col("bill_from_date"))).alias("bill_from_ts"))
 
 
+def _dated(spark, sf):
+    return billing_lines(spark, sf).withColumns({
+        "_to": dates.parse_timestamp(F.col("bill_to_date")), "_from": dates.parse_timestamp(F.col("bill_from_date"))})
+
+
 _DAYS_SQL = (f"floor(date_diff('microsecond', {O.parse_ts('bill_from_date')}, {O.parse_ts('bill_to_date')}) "
              "/ 86400000000.0)")
 
@@ -273,19 +279,17 @@ _DAYS_SQL = (f"floor(date_diff('microsecond', {O.parse_ts('bill_from_date')}, {O
     f"SELECT row_id, CAST({_DAYS_SQL} AS BIGINT) AS whole_days, round_even({_DAYS_SQL} / 30.0, 0) AS frequency_raw "
     "FROM billing_lines"))
 def q_p12(spark, sf):
-    to_, from_ = dates.parse_timestamp(F.col("bill_to_date")), dates.parse_timestamp(F.col("bill_from_date"))
-    return billing_lines(spark, sf).select(
-        "row_id", dates.whole_days(to_, from_).cast("long").alias("whole_days"),
-        dates.billing_frequency(to_, from_).alias("frequency_raw"))
+    return _dated(spark, sf).select(
+        "row_id", dates.whole_days(F.col("_to"), F.col("_from")).cast("long").alias("whole_days"),
+        dates.billing_frequency(F.col("_to"), F.col("_from")).alias("frequency_raw"))
 
 
 @register("p13_clamp", with_billing_lines(
     f"SELECT row_id, {O.frequency_sql(O.parse_ts('bill_to_date'), O.parse_ts('bill_from_date'))} AS billing_frequency "
     "FROM billing_lines"))
 def q_p13(spark, sf):
-    to_, from_ = dates.parse_timestamp(F.col("bill_to_date")), dates.parse_timestamp(F.col("bill_from_date"))
-    return billing_lines(spark, sf).select(
-        "row_id", dates.clamp_frequency(dates.billing_frequency(to_, from_)).alias("billing_frequency"))
+    d = _dated(spark, sf).withColumn("_freq", dates.billing_frequency(F.col("_to"), F.col("_from")))
+    return d.select("row_id", dates.clamp_frequency(F.col("_freq")).alias("billing_frequency"))
 
 
 @register("p14_currency", with_billing_lines("SELECT row_id, COALESCE(currency, 'USD') AS currency FROM billing_lines"))
