@@ -152,3 +152,24 @@ def test_status_rows_and_sheet_rows(spark):
     per_doc = sheet.groupBy("document_id").agg(F.count("*").alias("n"), F.max("sheet_row").alias("m"),
                                                F.countDistinct("sheet_row").alias("d"))
     assert per_doc.filter((F.col("n") != F.col("m")) | (F.col("n") != F.col("d"))).count() == 0
+
+
+def test_switches_raw_order_and_paren_negative(spark):
+    rows = [base_row(charge_description="k", bill_to_date="2023-02-01", charge_amount="(10)", row_ord=0),
+            base_row(charge_description="k", bill_to_date="12/31/2023", charge_amount="20", row_ord=1)]
+    df = lines_df(spark, rows)
+    parsed = normalize_bills(df, JobParams(vendor="V")).rows.first()
+    assert parsed.unit_recurring_cost == 20.0  # 12/31/2023 is the later date
+    raw = normalize_bills(df, JobParams(vendor="V", latest_order="raw", paren_negative=True)).rows.first()
+    assert raw.unit_recurring_cost == -10.0  # '2023-02-01' > '12/31/2023' as text; (10) negates
+
+
+def test_cleanup_scratch(spark):
+    from ledgerline.session import cleanup_scratch, ensure_checkpoint_dir, materialize
+    materialize(spark.range(10), "probe").count()
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/") + "/scratch")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert fs.exists(path)
+    cleanup_scratch(spark)
+    assert not fs.exists(path)
