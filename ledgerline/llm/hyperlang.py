@@ -28,8 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import table
+
 DIMS = 1024
 TRAIN_DOCS = 1500
+BUNDLE_TASKS = 12
 BATCH_DOCS, BATCH_CHARS = 128, 600_000
 _TABLE = 4 << 20  # largest direct-address trigram table; bigger alphabets are sorted instead
 
@@ -138,8 +141,9 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, dims: int = DIMS, seed:
         )
 
     protos: dict[str, np.ndarray] = {}
-    # one row of dims numbers for each language and task; a language's rows are added here
-    for r in labelled.filter(drawn).select("lang", "text").mapInArrow(bundle, "lang string, bundle binary").toLocalIterator():
+    sample = labelled.filter(drawn).select("lang", "text").repartition(BUNDLE_TASKS)
+    # at most BUNDLE_TASKS rows of dims numbers for each language
+    for r in sample.mapInArrow(bundle, "lang string, bundle binary").collect():
         protos[r["lang"]] = protos.get(r["lang"], 0) + np.frombuffer(r["bundle"])
     return {lang: v / np.linalg.norm(v) for lang, v in sorted(protos.items()) if np.linalg.norm(v) > 0}
 
@@ -183,8 +187,6 @@ def accepted(docs: DataFrame, least_score: float = 0.0, **options: object) -> Da
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from ledgerline.llm.common import table
-
     docs = table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), train(docs))
     return found.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")

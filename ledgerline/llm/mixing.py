@@ -23,10 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialize
+from ledgerline.llm.common import materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_ROWS = 20_000  # rows of one running-sum bucket; changes the layout, not the result
+BUCKET_ROWS = 4_000  # rows of one running-sum bucket; changes the layout, not the result
 
 
 def word_count(text: Column) -> Column:
@@ -62,7 +62,7 @@ def source_targets(sized: DataFrame, max_epochs: int = 3, weights: tuple[int, ..
     })
     share = F.col("w").cast("double") * (F.col("total") - F.col("kept")).cast("double") / F.col("open").cast("double")
     s = s.withColumn("target", F.when(F.col("full"), F.col("bound").cast("double")).otherwise(share))
-    # the epsilon keeps a rounded-up share from asking for more than the bound
+    # a share that rounds up may not ask for more than the bound
     s = s.withColumn("quota", F.least(F.floor("target"), F.col("bound")))
     return s.select("source", "sid", "source_size", "target", "quota")
 
@@ -175,8 +175,6 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from ledgerline.llm.common import table
-
     return taken_words(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 

@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import anchors, hyperlang, mixing
+from ledgerline.llm import anchors, cover_tree, fingerprints, hyperlang, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_oph_fingerprints": fingerprints.query,
+    "op3_dual_tree_top_k": cover_tree.query,
     "op4_anchor_pii": anchors.query,
     "op5_hyperdimensional_language": hyperlang.query,
     "op8_low_discrepancy_mix": mixing.query,
+    "op9_certified_packing": packing.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_dual_tree_top_k": cover_tree.ORACLE,
     "op8_low_discrepancy_mix": mixing.ORACLE,
 }
