@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import anchors, cover_tree, fingerprints, hyperlang, mixing, packing
+from ledgerline.llm import anchors, cover_tree, fingerprints, hyperlang, minmax_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_oph_fingerprints": fingerprints.query,
     "op3_dual_tree_top_k": cover_tree.query,
     "op4_anchor_pii": anchors.query,
     "op5_hyperdimensional_language": hyperlang.query,
+    "op7_min_max_dedup": minmax_dedup.query,
     "op8_low_discrepancy_mix": mixing.query,
     "op9_certified_packing": packing.query,
 }
