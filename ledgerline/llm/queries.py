@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import anchors, cover_tree, fingerprints, hyperlang, minmax_dedup, mixing, packing
+from ledgerline.llm import anchors, cover_tree, fingerprints, html_text, hyperlang, link_trust, minmax_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_site_template_text": html_text.query,
     "op2_oph_fingerprints": fingerprints.query,
     "op3_dual_tree_top_k": cover_tree.query,
     "op4_anchor_pii": anchors.query,
@@ -16,9 +17,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_min_max_dedup": minmax_dedup.query,
     "op8_low_discrepancy_mix": mixing.query,
     "op9_certified_packing": packing.query,
+    "op10_link_trust": link_trust.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_dual_tree_top_k": cover_tree.ORACLE,
     "op8_low_discrepancy_mix": mixing.ORACLE,
+    "op10_link_trust": link_trust.oracle(),
 }
