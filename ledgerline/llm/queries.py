@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import anchors, cover_tree, fingerprints, html_text, hyperlang, link_trust, minmax_dedup, mixing, packing
+from ledgerline.llm import anchors, cover_tree, fingerprints, html_text, hyperlang, link_trust, minmax_dedup, mixing, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_template_text": html_text.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_dual_tree_top_k": cover_tree.query,
     "op4_anchor_pii": anchors.query,
     "op5_hyperdimensional_language": hyperlang.query,
+    "op6_bidirectional_gru_toxicity": toxicity.query,
     "op7_min_max_dedup": minmax_dedup.query,
     "op8_low_discrepancy_mix": mixing.query,
     "op9_certified_packing": packing.query,
