@@ -30,6 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finalizer (murmur3's)."""
     x = x ^ (x >> np.uint64(33))

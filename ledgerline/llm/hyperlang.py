@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table
+from ledgerline.llm.common import fresh, table
 
 DIMS = 1024
 TRAIN_DOCS = 1500
@@ -148,8 +148,8 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, dims: int = DIMS, seed:
     return {lang: v / np.linalg.norm(v) for lang, v in sorted(protos.items()) if np.linalg.norm(v) > 0}
 
 
-def identify(docs: DataFrame, protos: dict[str, np.ndarray], seed: int = 7) -> DataFrame:
-    """``docs`` with lang_pred and score (cosine, 0 to 1) added."""
+def identify(docs: DataFrame, protos: dict[str, np.ndarray], seed: int = 7, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with the language and its score (cosine, 0 to 1) added as columns ``pred`` and ``score``."""
     langs = sorted(protos)
     matrix = np.array([protos[x] for x in langs], np.float32).reshape(len(langs), -1)
     dims = matrix.shape[1] if langs else DIMS
@@ -158,20 +158,20 @@ def identify(docs: DataFrame, protos: dict[str, np.ndarray], seed: int = 7) -> D
         enc = Encoder(dims, seed)
         for b in batches:
             texts = [t or "" for t in b.column(b.schema.names.index("text")).to_pylist()]
-            pred, score = ["und"] * len(texts), np.zeros(len(texts))
+            found, scores = ["und"] * len(texts), np.zeros(len(texts))
             for i, j in batches_of(texts) if langs else ():
                 v = enc.encode(texts[i:j])
                 cosine = unit(v) @ matrix.T
                 best = cosine.argmax(1)
                 for k, (there, n) in enumerate(zip(v.any(1), best, strict=True)):
                     if there:
-                        pred[i + k], score[i + k] = langs[n], min(1.0, max(0.0, float(cosine[k, n])))
+                        found[i + k], scores[i + k] = langs[n], min(1.0, max(0.0, float(cosine[k, n])))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names, "lang_pred", "score"]
+                [*b.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names, pred, score]
             )
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(compare, ", ".join([*fields, "lang_pred string", "score double"]))
+    return docs.mapInArrow(compare, ", ".join([*fields, f"`{pred}` string", f"`{score}` double"]))
 
 
 def accepted(docs: DataFrame, least_score: float = 0.0, **options: object) -> DataFrame:
@@ -180,10 +180,9 @@ def accepted(docs: DataFrame, least_score: float = 0.0, **options: object) -> Da
     protos = train(docs, **options)
     if not protos:
         return docs
-    taken = {"lang_pred", "score"} & set(docs.columns)
-    plain = docs.withColumnsRenamed({c: f"{c}__in" for c in taken})
-    kept = identify(plain, protos).filter((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({f"{c}__in": c for c in taken}).select(*docs.columns)
+    pred, score = fresh(docs, "lang_pred"), fresh(docs, "score")
+    kept = identify(docs, protos, pred=pred, score=score)
+    return kept.filter((F.col(pred) != "und") & (F.col(score) >= least_score)).drop(pred, score)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -34,11 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerline.llm.common import byte_chunks, materialize, mix64, shingle_hashes, table, utf8
+from ledgerline.llm.common import byte_chunks, fresh, materialize, mix64, shingle_hashes, table, utf8
 
 WORDS = 3
 PERMUTATIONS = 48
@@ -246,11 +246,12 @@ def remaining_pairs(members: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: the smallest id. Of rows repeating
-    that id with the same text one stays."""
-    found = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id_")).distinct()
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(F.col("kept_id_")), "left_semi")
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    """``docs`` with one document of each group: the smallest id (of rows repeating
+    it, the one whose text is first in order). Rows without an id stay."""
+    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    place = fresh(docs, "place")
+    named = docs.join(kept, "doc_id", "left_semi").withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+    return named.filter(F.col(place) == 1).drop(place).select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialize, table
+from ledgerline.llm.common import fresh, materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 4_000  # rows of one running-sum bucket; changes the layout, not the result
@@ -161,12 +161,13 @@ def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     are kept; n_chars (if there) follows a cut text. Rows without words carry
     nothing into a mix and are left out."""
     cols = docs.columns
-    tagged = materialize(docs.withColumn("mix_row_", F.monotonically_increasing_id()), "mix-input")
-    taken = taken_words(tagged, keys=("mix_row_",), **options).select("mix_row_", "size", "taken").filter("taken > 0")
-    rows = tagged.join(taken, "mix_row_")
-    rows = rows.withColumn("mix_copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
-    cut = F.col("mix_copy_") * F.col("size") > F.col("taken")
-    words = (F.col("taken") % F.col("size")).cast("int")
+    row, size, taken, copy = (fresh(docs, n) for n in ("mix_row", "mix_size", "mix_taken", "mix_copy"))
+    tagged = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
+    amounts = taken_words(tagged, keys=(row,), **options).filter("taken > 0").select(row, F.col("size").alias(size), F.col("taken").alias(taken))
+    rows = tagged.join(amounts, row)
+    rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col(taken) / F.col(size)))))
+    cut = F.col(copy) * F.col(size) > F.col(taken)
+    words = (F.col(taken) % F.col(size)).cast("int")
     head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words), " ")
     rows = rows.withColumn("text", F.when(cut, head).otherwise(F.col("text")))
     if "n_chars" in cols:
