@@ -62,13 +62,15 @@ def signatures(texts: list[bytes], bins: int = BINS, words: int = WORDS) -> tupl
     sig = sig.reshape(len(texts), bins)
     filled = sig != none
     some = filled.any(1)
-    out, open_bins = sig.copy(), ~filled & some[:, None]
+    out = sig.copy()
+    row, empty = np.nonzero(~filled & some[:, None])
     for donor in _donors(bins):
-        if not open_bins.any():
+        if not len(row):
             break
-        take = open_bins & filled[:, donor]
-        out[take] = sig[:, donor][take]
-        open_bins &= ~take
+        found = donor[empty]
+        hit = filled[row, found]
+        out[row[hit], empty[hit]] = sig[row[hit], found[hit]]
+        row, empty = row[~hit], empty[~hit]
     return out, some
 
 
