@@ -32,7 +32,8 @@ from ledgerline.llm.common import materialize, table
 BLOCK_ROWS = 8_192
 GROUP_ROWS = 8_192
 LEAF = 24
-SCORED = 128  # nodes looked at before bounds are compared again
+QUERY_LEAF = 4  # queries that share bounds to the end; more of them loosen the bounds
+SCORED = 96  # points scored before bounds are compared again
 TOGETHER = 256  # query nodes whose bounds are computed in one product
 NONE = np.iinfo(np.int64).min
 
@@ -93,7 +94,8 @@ class Search:
     """The k best (score, id) of each query, ties to the smaller id."""
 
     def __init__(self, queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int):
-        self.q, self.x, self.query_ids, self.ids, self.k = CoverTree(queries), CoverTree(points), query_ids, ids, k
+        self.q, self.x = CoverTree(queries, QUERY_LEAF), CoverTree(points)
+        self.query_ids, self.ids, self.k = query_ids, ids, k
         self.scores = np.full((len(queries), k), NONE, np.int64)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max, np.int64)
         self.slack = 1e-6 + 1e-9 * self.q.norm.max() * self.x.norm.max()  # of the bounds' rounding
@@ -133,11 +135,13 @@ class Search:
                 return
             best = np.argsort(-bounds, kind="stable")
             x, bounds, inner = x[best], bounds[best], inner[best]
-            opened = self.x.children(x[:SCORED][inner[:SCORED]])
-            rows = self.x.members(x[:SCORED][~inner[:SCORED]])
+            points = np.cumsum(np.where(inner, 0, self.x.end[x] - self.x.start[x]))
+            n = int(np.searchsorted(points, SCORED)) + 1
+            opened = self.x.children(x[:n][inner[:n]])
+            rows = self.x.members(x[:n][~inner[:n]])
             if len(rows):
                 self.score(queries, rows)
-            x, bounds = x[SCORED:], bounds[SCORED:]
+            x, bounds = x[n:], bounds[n:]
             if len(opened):
                 x, bounds = np.concatenate([opened, x]), np.concatenate([self.bounds(node, opened)[0], bounds])
 
@@ -193,13 +197,14 @@ def scaled(vector: Column, scale: int = 256) -> Column:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, block_rows: int = BLOCK_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): ``vectors`` has vec_id and vector (integers)."""
-    rows = vectors.filter("vec_id is not null and vector is not null").withColumn("dims", F.size("vector"))
-    rows = materialize(rows, "topk-vectors")
-    asked = rows.filter(is_query).dropDuplicates(["vec_id", "vector"])
+    rows = vectors.select("vec_id", "vector", is_query.alias("asked"), F.size("vector").alias("dims"))
+    rows = materialize(rows.filter("vec_id is not null and vector is not null"), "topk-vectors")
+    asked = rows.filter("asked").dropDuplicates(["vec_id", "vector"])
     asked = asked.select(F.col("vec_id").alias("query_id"), F.xxhash64("vector").alias("query_no"), "vector", "dims")
     n, m = rows.count(), asked.count()
     blocks, groups = max(1, -(-n // block_rows)), max(1, -(-m // group_rows))
     part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
+    rows = rows.drop("asked")
     asked = asked.withColumn("group", part("query_id", groups)).withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
     rows = rows.withColumn("block", part("vec_id", blocks)).withColumn("group", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
     pair = ["dims", "group", "block"]

@@ -122,7 +122,8 @@ def id_ranges(docs: DataFrame, n_ranges: int) -> Column:
         mid = (lo + hi + 1) // 2
         return F.when(x < cuts[mid], tree(lo, mid - 1)).otherwise(tree(mid, hi))
 
-    return F.coalesce(F.lit(len(cuts) * fine) - tree(0, len(cuts) - 1), F.lit(len(cuts) * fine))
+    last = F.lit(len(cuts) * fine)
+    return F.when(x.isNull(), last).otherwise(last - tree(0, len(cuts) - 1))
 
 
 def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:

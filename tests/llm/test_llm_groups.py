@@ -42,7 +42,7 @@ def brute_top_k(vectors, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("largest", [3, 40, 1 << 40])
+@pytest.mark.parametrize("largest", [3, 40, 1 << 28])
 def test_top_k_against_all_pairs(spark, largest):
     rng = random.Random(largest)
     vectors = [(i, [rng.randint(-largest, largest) for _ in range(6)]) for i in range(400)]
@@ -66,7 +66,7 @@ def test_trees_cover_and_prune():
             assert sorted(np.concatenate([tree.order[tree.start[k] : tree.end[k]] for k in kids])) == sorted(inside)
     search = cover_tree.Search(points[:60], np.arange(60), points, np.arange(3000), 5)
     search.run()
-    assert search.scored < 0.5 * 60 * 3000
+    assert search.scored < 0.2 * 60 * 3000
 
 
 def test_bad_vectors_take_no_part(spark):
@@ -186,7 +186,8 @@ def brute_targets(sizes):
 
 def test_mix_meets_targets(spark):
     rows, docs = mix_table(spark)
-    got = mixing.taken_words(docs, keys=("source",), block_words=16).toPandas()
+    docs = docs.withColumn("of", docs["source"])
+    got = mixing.taken_words(docs, keys=("of",), block_words=16).toPandas()
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     sizes = {}
     for r in rows:
@@ -194,11 +195,11 @@ def test_mix_meets_targets(spark):
     targets = brute_targets(sizes)
     assert len(got) == len(rows) and (got.taken <= 3 * got["size"]).all()
     for source, target in targets.items():
-        some = got[got.source == source] if source is not None else got[got.source.isna()]
+        some = got[got.of == source] if source is not None else got[got.of.isna()]
         assert np.allclose(some.target, target) and (some.source_size == sizes[source]).all()
         assert abs(some.taken.sum() - target) <= 16
-    again = mixing.taken_words(docs.repartition(7), keys=("source",), block_words=16).toPandas()
-    cols = ["doc_id", "source", "size", "taken"]
+    again = mixing.taken_words(docs.repartition(7), keys=("of",), block_words=16).toPandas()
+    cols = ["doc_id", "of", "size", "taken"]
     assert rows_of(got, cols) == rows_of(again, cols)
 
 
