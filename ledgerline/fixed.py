@@ -115,8 +115,9 @@ ONE_TIME_CHARGE_TYPES = ["Non-Recurring", "NON-RECURRING"]
 EXCLUDED_PRODUCT_LINES = ["HSIP", "Level 3 Dedicated Internet Access", "Wavelength"]
 
 # Characters removed from money text, and from units text before parsing.
-MONEY_STRIP_PATTERN = r"[\s$(),]"
-UNITS_STRIP_PATTERN = r"[-\s;,:_()\/]"
+# (?U): white space as Unicode has it, so that a no-break space goes too.
+MONEY_STRIP_PATTERN = r"(?U)[\s$(),]"
+UNITS_STRIP_PATTERN = r"(?U)[-\s;,:_()\/]"
 
 # Stand-in date for a missing "Bill To Date" while ordering.
 BILL_TO_SENTINEL = "1900-01-01"

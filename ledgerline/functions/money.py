@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 
-# A plain decimal number, as Python's float() reads it (no '1d'/'1f' suffixes,
-# which Spark's cast would otherwise accept).
+# A plain decimal number (no '1d'/'1f' suffixes, which Spark's cast would
+# otherwise accept). Two other spellings of Python's float() are left out on
+# purpose: 'inf' / 'nan' are no amounts, and digit groups like '1_000' don't occur
+# in amounts; both are reported as not numeric.
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 

@@ -59,8 +59,15 @@ def doc_label(file_name: Column) -> Column:
 
 
 def decode_key(c: Column) -> Column:
-    """P20: percent-decode; '+' is kept, and a text with a bad escape is kept whole."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    """P20: percent-decode; '+' and every escape that isn't %xx are kept as they are,
+    bytes that don't form a character become the replacement character."""
+    lone = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.url_decode(lone)
+
+
+def output_name(file_name: Column) -> Column:
+    """The name of a file's output: its base name without the extension, decoded."""
+    return decode_key(strip_ext(base_name(file_name)))
 
 
 def flatten_error(c: Column) -> Column:

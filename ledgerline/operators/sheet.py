@@ -140,17 +140,14 @@ def upload_sheet(normalized: DataFrame, params: JobParams, stamp_text: Column, d
     return pre.unionByName(data)
 
 
-def write_sheet(sheet: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """K1 sink: one folder per document label, headerless CSV. Range-partitioned
-    on (label, sheet_row) so a large document is written by many tasks; part
-    files in name order hold the rows in sheet order."""
+def write_sheet(sheet: DataFrame, path: str) -> None:
+    """K1 sink: one folder per output, headerless CSV. Range-partitioned on
+    (output, sheet row) so a large document is written by many tasks; part
+    files in name order hold the rows in sheet order. An output that is
+    written again replaces its earlier rows; others stay."""
     cols = [f"_c{i}" for i in range(len(SHEET_NAMES))]
-    (sheet.repartitionByRange("doc_label", "sheet_row")
-     .sortWithinPartitions("doc_label", "sheet_row")
-     .select("doc_label", *cols)
-     .write.mode(mode).partitionBy("doc_label").option("header", False).csv(path))
-
-
-def write_normalized(normalized: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """The typed normalized table as Parquet, one folder per document label."""
-    normalized.write.mode(mode).partitionBy("doc_id").parquet(path)
+    (sheet.repartitionByRange("output", "sheet_row")
+     .sortWithinPartitions("output", "sheet_row")
+     .select("output", *cols)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("output")
+     .option("header", False).option("escape", '"').csv(path))

@@ -10,21 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import dates, money, text
 from ..functions.describe import parse_charge_description
+from ..functions.text import output_name
 from ..operators import aggregates, contract, dedupe, filters, ordering, sheet, status
 from ..params import JobParams
 from ..session import plan_settings, scratch_path
 from ..sources import fixture
-from ..sources.bills import read_bills
+from ..sources.bills import decoded_path, read_bills
 from ..sources.fixture import MANIFEST_SQL, OUTPUTS_SQL, billing_lines, with_billing_lines
-from ..sources.manifest import list_outputs, read_manifest
+from ..sources.manifest import read_manifest
 from . import oracle as O
 from .normalize import normalize_bills
+from .run import existing_outputs, run_manifest
 
 PARAMS = JobParams(client_name="Client", upload_user="loader", default_owner_email="")
 Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -112,7 +114,10 @@ def q_f3(spark, sf):
     return filters.eligible(m).select("manifest_ord", "document_id")
 
 
-@register("k2_run_record", None)
+@register("k2_run_record", O.status_sql(
+    "SELECT '{\"files\":[' || string_agg('{\"document_id\":\"' || document_id || '\",\"extraction_date\":' || "
+    "coalesce('\"' || extraction_date || '\"', 'null') || ',\"error\":\"' || error || '\",\"status\":\"' || status || '\"}', ',' "
+    "ORDER BY manifest_ord) || '],\"tenant_bridge_id\":\"\",\"tenant_bridge_run_id\":\"\",\"summary\":\"EOF\"}' AS run_record FROM status_final"))
 def q_k2(spark, sf):
     return status.run_record(fixture_status(spark, sf), PARAMS)
 
@@ -124,7 +129,27 @@ def q_o5(spark, sf):
     return sheet.sheet_order(flagship(spark, sf))
 
 
-@register("k1_sheet", None)
+def _k1_sql() -> str:
+    """The sheet as a union: eight preamble rows for each document, then its rows, numbered, as text."""
+    n = len(sheet.SHEET_NAMES)
+    blank = ["' '"] * n
+    line = lambda second=None: ["' '", second, *["' '"] * (n - 2)] if second else blank
+    pre = [["''"] * n, line("'Service Upload Sheet'"), blank, line(f"'{PARAMS.client_name}'"),
+           line(f"'User: {PARAMS.upload_user}'"), line("'01-Jan-2024 00:00:00'"), blank,
+           [O.q(h) for h in PARAMS.sheet_headers()]]
+    parts = [f"SELECT document_id, doc_label, CAST({k + 1} AS BIGINT) AS sheet_row, "
+             + ", ".join(f"{c} AS _c{i}" for i, c in enumerate(cells)) + " FROM docs" for k, cells in enumerate(pre)]
+    parts.append("SELECT document_id, doc_id AS doc_label, 8 + row_number() OVER (PARTITION BY document_id ORDER BY "
+                 "service_identifier ASC NULLS FIRST, piid_parent ASC NULLS LAST, units_order ASC NULLS FIRST, row_ord ASC) AS sheet_row, "
+                 + ", ".join(f"CAST({c} AS VARCHAR) AS _c{i}" for i, c in enumerate(sheet.SHEET_NAMES)) + " FROM rows_out")
+    return with_billing_lines(f""", {O.stages_sql()},
+rows_out AS (SELECT {O.output_select_sql()} FROM enriched WHERE pre_error IS NULL
+  AND document_id NOT IN (SELECT document_id FROM doc_post WHERE post_error IS NOT NULL)),
+docs AS (SELECT DISTINCT document_id, doc_id AS doc_label FROM rows_out)
+{" UNION ALL ".join(parts)}""")
+
+
+@register("k1_sheet", _k1_sql())
 def q_k1(spark, sf):
     stamp = dates.stamp(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     return sheet.upload_sheet(flagship(spark, sf), PARAMS, stamp)
@@ -346,9 +371,15 @@ def q_p19(spark, sf):
                                          text.swap_ext(b).alias("output_name"))
 
 
-@register("p20_decode", None)
+# Keys with good, bad and mixed escapes, and a plus sign; the SQL writes the decoded parts down.
+_P20_PARTS = [("%20b", " b"), ("%zz", "%zz"), ("%C3%A9+x%2Fy", "é+x/y"), ("%", "%"), ("a%20b%zz%2B", "a b%zz+"), ("%4", "%4")]
+
+
+@register("p20_decode", "SELECT page_id, CASE page_id % 6 " + " ".join(
+    f"WHEN {k} THEN '{plain}'" for k, (_, plain) in enumerate(_P20_PARTS)) + " END || url AS decoded FROM pages")
 def q_p20(spark, sf):
-    return _t(spark, sf, "pages").select("page_id", text.decode_key(F.col("url")).alias("decoded"))
+    pick = F.element_at(F.array(*[F.lit(e) for e, _ in _P20_PARTS]), (F.col("page_id") % 6 + 1).cast("int"))
+    return _t(spark, sf, "pages").select("page_id", text.decode_key(F.concat(pick, F.col("url"))).alias("decoded"))
 
 
 @register("p21_stamp", "SELECT event_id, strftime(ts, '%d-%b-%Y %H:%M:%S') AS stamp FROM events")
@@ -395,10 +426,10 @@ def q_j1(spark, sf):
                                 _t(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
 
 
-@register("j2_not_done", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@register("j2_not_done", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)")
 def q_j2(spark, sf):
     return status.not_done(_t(spark, sf, "customer").select("c_custkey", "c_name"),
-                           _t(spark, sf, "orders"), "c_custkey", "o_custkey")
+                           _t(spark, sf, "orders").filter("o_orderkey % 7 = 0"), "c_custkey", "o_custkey")
 
 
 @register("j3_prefix_match", """
@@ -529,11 +560,11 @@ def write_fixture_csv(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "fixture-csv")
     cols = [c for c in lines.columns if c in _DISPLAY]
     keep = lines.filter(F.col("document_id") != _C2_DOC).select("document_id", *[F.col(c).alias(_DISPLAY[c]) for c in cols])
-    keep.write.partitionBy("document_id").option("header", True).csv(path)
-    short = [c for c in cols if c not in _C2_DROPPED]
+    keep.write.partitionBy("document_id").option("header", True).option("escape", '"').csv(path)
+    short = [c for c in reversed(cols) if c not in _C2_DROPPED]  # in another order, too
     lines.filter(F.col("document_id") == _C2_DOC).select(
         "document_id", *[F.col(c).alias(_DISPLAY[c]) for c in short]
-    ).write.mode("append").partitionBy("document_id").option("header", True).csv(path)
+    ).write.mode("append").partitionBy("document_id").option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -563,28 +594,102 @@ def q_c2(spark, sf):
     return files.select(_doc_of_path(F.col("path")).alias("document_id"), "required_error").distinct()
 
 
-@register("s2_manifest", None)
+@register("s2_manifest", """
+SELECT 'T' || c_nationkey AS tenant_bridge_id, CAST(NULL AS VARCHAR) AS last_run_on_utc,
+  CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INTEGER) AS manifest_ord,
+  'DOC-' || c_custkey || '-' || c_name || '.csv' AS file_name, CAST(c_custkey AS VARCHAR) AS document_id,
+  c_name AS original_file_name, 'DOC-' || c_custkey AS display_id
+FROM customer""")
 def q_s2(spark, sf):
-    """Manifest JSON documents written from `customer` (JSON lines, one manifest
-    object per line with its file records), read back and exploded."""
-    cust = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    """Manifest JSON documents written from `customer` (one manifest for each nation,
+    JSON lines), read back and exploded."""
+    cust = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     path = scratch_path(spark, "manifest")
     rec = F.struct(
         F.concat(F.lit("DOC-"), F.col("c_custkey").cast("string"), F.lit("-"), F.col("c_name"), F.lit(".csv")).alias("file_name"),
         F.col("c_custkey").cast("string").alias("document_id"),
         F.col("c_name").alias("original_file_name"),
         F.concat(F.lit("DOC-"), F.col("c_custkey").cast("string")).alias("display_id"))
-    docs = cust.select(F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("tenant_bridge_id"),
-                       F.lit(None).cast("string").alias("last_run_on_utc"), F.array(rec).alias("files"))
+    docs = cust.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", rec.alias("rec")))).alias("recs"))
+    docs = docs.select(F.concat(F.lit("T"), F.col("c_nationkey").cast("string")).alias("tenant_bridge_id"),
+                       F.lit(None).cast("string").alias("last_run_on_utc"),
+                       F.transform("recs", lambda x: x["rec"]).alias("files"))
     docs.write.json(path)
     return read_manifest(spark, path, multi_line=False)
 
 
-@register("s3_outputs", None)
+@register("s3_outputs", "SELECT n_nationkey || ' of region ' || n_regionkey || ' (50%)' AS output FROM nation")
 def q_s3(spark, sf):
+    """Outputs written as the sheet sink writes them, one folder for each name, listed again."""
     path = scratch_path(spark, "outputs")
-    _t(spark, sf, "region").write.partitionBy("r_regionkey").parquet(path)
-    return list_outputs(spark, path, "*.parquet")
+    name = F.concat(F.col("n_nationkey").cast("string"), F.lit(" of region "), F.col("n_regionkey").cast("string"), F.lit(" (50%)"))
+    _t(spark, sf, "nation").select(name.alias("output"), "n_name").write.partitionBy("output").csv(path)
+    return existing_outputs(spark, path)
+
+
+# ----------------------------------------------------------------------------------------
+# The whole run over CSV files: manifest -> files -> sheets -> status
+# ----------------------------------------------------------------------------------------
+
+def _run_file(n) -> Column:
+    """DOC-<n % 7>-<n> (carrier) a%20b.csv: spaces, parentheses and an escape in the
+    name, and labels that two documents share."""
+    num = F.regexp_extract(n, "([0-9]+)$", 1).cast("int")
+    return F.concat(F.lit("DOC-"), (num % 7).cast("string"), F.lit("-"), num.cast("string"), F.lit(" (carrier) a%20b.csv"))
+
+
+def write_run_files(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The fixture as one CSV file per document, and outputs of the documents already
+    done. Each file also has a row without any value; a folder below the source holds files of
+    the same names that the run must not read."""
+    lines = billing_lines(spark, sf)
+    src, parts, dst = (scratch_path(spark, n) for n in ("run-src", "run-parts", "run-dst"))
+    cols = [c for c in lines.columns if c in _DISPLAY]
+    keep = lines.select("document_id", "row_id", *[F.col(c).cast("string").alias(_DISPLAY[c]) for c in cols])
+    nothing = lines.select("document_id").distinct().select(
+        "document_id", F.lit("").alias("row_id"), *[F.lit(None).cast("string").alias(_DISPLAY[c]) for c in cols])
+    both = keep.unionByName(nothing).repartition("document_id").sortWithinPartitions("document_id", "row_id").drop("row_id")
+    both.write.partitionBy("document_id").option("header", True).option("escape", '"').csv(parts)
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path
+    fs = hadoop_path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path(src + "/old"))
+    names = lines.select("document_id", _run_file(F.col("document_id")).alias("name")).distinct().collect()  # the fixture's 13 documents
+    for k, r in enumerate(names):  # Spark names its files itself: give them the manifest's names
+        made = [f.getPath() for f in fs.listStatus(hadoop_path(f"{parts}/document_id={r.document_id}"))]
+        fs.rename(made[0], hadoop_path(src, r.name))
+        if k:
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, hadoop_path(src, r.name), fs, hadoop_path(src + "/old", names[k - 1].name), False, fs.getConf())
+    done = fixture.fixture_outputs(spark, sf).select(output_name(_run_file(F.col("document_id"))).alias("output"), F.lit("x").alias("x"))
+    done.write.partitionBy("output").csv(dst)
+    return src, dst
+
+
+@register("run_csv", O.status_sql("""
+SELECT s.manifest_ord, s.document_id,
+  'DOC-' || (s.manifest_ord % 7) || '-' || s.manifest_ord || ' (carrier) a%20b.csv' AS file_name,
+  extraction_date, regexp_replace(error, ' at row .*$', '') AS error, status, error_kind, n_rows, n_kept,
+  CASE WHEN status = 'Success' THEN 8 + n_kept END AS sheet_rows,
+  CASE WHEN status = 'Success' THEN 'DOC-' || (s.manifest_ord % 7) END AS sheet_label,
+  CASE WHEN status = 'Success' THEN e.quantity END AS sheet_quantity
+FROM status_final s LEFT JOIN (SELECT document_id, CAST(sum(service_quantity) AS BIGINT) AS quantity FROM enriched GROUP BY document_id) e
+  ON s.document_id = e.document_id"""))
+def q_run(spark, sf):
+    """The job from files to files: its status, and what the sheets that it wrote hold."""
+    src, dst = write_run_files(spark, sf)
+    manifest = fixture.fixture_manifest(spark, sf).withColumn("file_name", _run_file(F.col("document_id")))
+    status_rows = run_manifest(spark, manifest, src, dst, PARAMS).status
+    cells = spark.read.schema(", ".join(f"_c{i} string" for i in range(len(sheet.SHEET_NAMES)))).option("escape", '"').csv(dst)
+    at = {n: F.col(f"_c{i}") for i, n in enumerate(sheet.SHEET_NAMES)}
+    cells = cells.withColumn("output", decoded_path(F.regexp_extract(decoded_path(F.col("_metadata.file_path")), "/output=([^/]+)/", 1)))
+    data = at["vendor"] == PARAMS.vendor
+    sheets = cells.groupBy("output").agg(
+        F.count("*").alias("sheet_rows"), F.max(F.when(data, at["doc_id"])).alias("sheet_label"),
+        F.sum(F.when(data, at["service_quantity"].try_cast("long"))).alias("sheet_quantity"))
+    out = status_rows.withColumn("output", F.when(F.col("status") == fixed.STATUS_SUCCESS, output_name(F.col("file_name"))))
+    return out.join(sheets, "output", "left").select(
+        "manifest_ord", "document_id", "file_name", "extraction_date", F.regexp_replace("error", " at row .*$", "").alias("error"),
+        "status", "error_kind", "n_rows", "n_kept", "sheet_rows", "sheet_label", "sheet_quantity")
 
 
 # ----------------------------------------------------------------------------------------

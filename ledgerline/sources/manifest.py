@@ -1,12 +1,10 @@
-"""The run manifest and the outputs that already exist."""
+"""The run manifest."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import base_name, swap_ext
-
 MANIFEST_SCHEMA = (
     "tenant_bridge_id string, last_run_on_utc string, "
     "files array<struct<file_name:string, document_id:string, original_file_name:string, display_id:string>>"
@@ -24,15 +22,3 @@ def read_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> Da
         F.col("f.file_name").alias("file_name"), F.col("f.document_id").alias("document_id"),
         F.col("f.original_file_name").alias("original_file_name"), F.col("f.display_id").alias("display_id"),
     )
-
-
-def list_outputs(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """S3: existing output files under ``root`` (names only; content is pruned)."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-             .load(root).select("path"))
-    return files.select("path", base_name(F.col("path")).alias("output_name"))
-
-
-def expected_output_name(file_name_col: str = "file_name"):
-    """The output name a manifest file is converted to ('.csv' -> '.xlsx')."""
-    return swap_ext(base_name(F.col(file_name_col)))

@@ -3,10 +3,13 @@
 Each run of the job receives a manifest (the "next run" file list). Manifest
 JSON files dropped into a folder are a file stream; every micro-batch of new
 manifest records runs the job (``run_manifest``) through ``foreachBatch``.
-The stream checkpoint records which manifest files were processed, so each
-manifest is run exactly once even across restarts, and files whose sheet
-already exists are skipped by J2 as in a single run. ``availableNow`` turns it
-into a scheduled incremental batch: process what arrived, then stop.
+The stream checkpoint records which manifest files were processed. A batch can
+still run more than once (after a failure between its writes and the checkpoint);
+each batch therefore keeps its eligibility decisions (J1, J2) in a folder of its
+own, writes sheets over and replaces its own status folder, so that a repeated
+batch leaves the same files as one. Files whose sheet an earlier batch wrote are
+skipped by J2 as in a single run. ``availableNow`` turns the stream into a
+scheduled incremental batch: process what arrived, then stop.
 """
 
 from __future__ import annotations
@@ -40,11 +43,10 @@ def start_incremental(spark: SparkSession, manifest_dir: str, source_root: str,
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        res = run_manifest(batch.sparkSession, batch, source_root, dest_root, params)
-        res.status.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").parquet(
-            f"{status_root}/status")
-        res.record.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").json(
-            f"{status_root}/run_record")
+        res = run_manifest(batch.sparkSession, batch, source_root, dest_root, params,
+                           decisions=f"{status_root}/decisions/batch_id={batch_id}")
+        res.status.write.mode("overwrite").parquet(f"{status_root}/status/batch_id={batch_id}")
+        res.record.write.mode("overwrite").json(f"{status_root}/run_record/batch_id={batch_id}")
 
     writer = manifest_stream(spark, manifest_dir).writeStream.foreachBatch(run_batch).option(
         "checkpointLocation", checkpoint)

@@ -102,10 +102,10 @@ def test_run_document_checks(spark, tmp_path):
     _write_csv(src / "DOC-4-dddd-onetime.csv", full, [["1", "x", "5", "0", "2023-01-17", "2023-01-01", "2023-01-31",
                                                       "Non-Recurring", "1", "S"]])
     _write_csv(src / "DOC-6-ffff-done.csv", full, good)
-    os.makedirs(dst / "doc_label=DOC-6")
-    (dst / "doc_label=DOC-6" / "part-0.csv").write_text("x\n")
-    os.makedirs(dst / "doc_label=DOC-7")
-    (dst / "doc_label=DOC-7" / "part-0.csv").write_text("x\n")
+    os.makedirs(dst / "output=DOC-6-ffff-done")
+    (dst / "output=DOC-6-ffff-done" / "part-0.csv").write_text("x\n")
+    os.makedirs(dst / "output=DOC-7-gggg-both")
+    (dst / "output=DOC-7-gggg-both" / "part-0.csv").write_text("x\n")
     names = ["DOC-1-aaaa-good.csv", "DOC-2-bbbb-missing.csv", "DOC-3-cccc-empty.csv", "DOC-4-dddd-onetime.csv",
              "DOC-5-eeee-notfound.csv", "DOC-6-ffff-done.csv", "DOC-7-gggg-both.csv"]
     manifest = {"tenant_bridge_id": "t", "last_run_on_utc": None,
@@ -124,7 +124,7 @@ def test_run_document_checks(spark, tmp_path):
     assert got["ffff"] == ("Error", fixed.MSG_ALREADY_DONE, "")
     assert got["gggg"] == ("Error", fixed.MSG_NOT_AT_SOURCE + fixed.MSG_ALREADY_DONE, "")
     # K1: the written sheet of DOC-1 has 8 preamble rows + 2 data rows, in sheet order.
-    sheet = spark.read.csv(str(dst / "doc_label=DOC-1"))
+    sheet = spark.read.csv(str(dst / "output=DOC-1-aaaa-good"))
     assert sheet.count() == 10
     ordered = [r for r in sheet.collect()]
     assert ordered[1]["_c1"] == fixed.SHEET_TITLE and ordered[5]["_c1"] == "03-Feb-2024 04:05:06"
@@ -133,7 +133,7 @@ def test_run_document_checks(spark, tmp_path):
     rec = json.loads(res.record.first().run_record)
     assert [f["document_id"] for f in rec["files"]] == [n.split("-")[2] for n in names] and rec["summary"] == "EOF"
     log = [r.log_entry for r in res.error_log.orderBy("log_ord").collect()]
-    assert log[0] == "File=DOC-2-bbbb-missing.csv, Error=Charge Amount, Invoice Date,  are missing."
+    assert log[0] == f"File={src}/DOC-2-bbbb-missing.csv, Error=Charge Amount, Invoice Date,  are missing."
 
 
 def test_status_rows_and_sheet_rows(spark):

@@ -17,14 +17,10 @@ def _plan(df):
 
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF")
-# Only the S1 header reader runs Python (one small task per batch of files).
-PYTHON_ALLOWED = {"s1_scan_bills", "c2_required"}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_python_in_plans(spark, name):
-    if name in PYTHON_ALLOWED:
-        pytest.skip("header reader")
     plan = _plan(catalog.queries()[name](spark, SF_SMALL))
     assert not any(n in plan for n in PY_NODES), name
 
