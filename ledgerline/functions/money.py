@@ -19,37 +19,57 @@ def guarded_double(text: Column) -> Column:
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 
-def clean_money(c: Column, paren_negative: bool = False) -> tuple[Column, Column]:
-    """P5: (value, is_error). Strips whitespace, '$', '(', ')' and ','.
+def money_text(c: Column) -> Column:
+    """P5 step 1: strip whitespace, '$', '(', ')' and ','."""
+    return F.regexp_replace(c, fixed.MONEY_STRIP_PATTERN, "")
+
+
+def money_value(c: Column, stripped: Column, paren_negative: bool = False) -> tuple[Column, Column]:
+    """P5 step 2: (value, is_error) of money text ``c`` that is already ``stripped``.
 
     Parentheses do not negate unless ``paren_negative``. Missing stays NULL;
     non-missing text that is not a number afterwards is an error.
     """
-    cleaned = F.regexp_replace(c, fixed.MONEY_STRIP_PATTERN, "")
-    value = guarded_double(cleaned)
+    value = guarded_double(stripped)
     if paren_negative:
         value = F.when(c.contains("("), -value).otherwise(value)
-    return value, c.isNotNull() & ~cleaned.rlike(PLAIN_NUMBER)
+    return value, c.isNotNull() & ~stripped.rlike(PLAIN_NUMBER)
+
+
+def clean_money(c: Column, paren_negative: bool = False) -> tuple[Column, Column]:
+    """P5: (value, is_error)."""
+    return money_value(c, money_text(c), paren_negative)
 
 
 def units_text(c: Column) -> Column:
     """Units as text; a plain number loses surrounding spaces, a leading '+'
     and leading zeros (as a numeric column would print it)."""
-    trimmed = F.trim(c)
+    trimmed = F.btrim(c, F.lit(" \t\r\n\u00a0"))
     canonical = F.regexp_replace(F.regexp_replace(trimmed, r"^\+", ""), r"^(-?)0+(\d)", "$1$2")
     return F.when(trimmed.rlike(PLAIN_NUMBER), canonical).otherwise(c)
 
 
-def floor_units(c: Column) -> Column:
-    """Units text below '1' by *string* comparison becomes '1.00'; a
-    missing cell is the text 'nan' (which is not below '1')."""
-    t = F.coalesce(units_text(c), F.lit("nan"))
+def floor_units_text(text: Column) -> Column:
+    """P6 on units text already canonical (``units_text``): text below '1' by
+    *string* comparison becomes '1.00'; a missing cell is the text 'nan' (which
+    is not below '1')."""
+    t = F.coalesce(text, F.lit("nan"))
     return F.when(t < F.lit("1"), F.lit("1.00")).otherwise(t)
 
 
+def floor_units(c: Column) -> Column:
+    """P6."""
+    return floor_units_text(units_text(c))
+
+
+def units_strip(floored: Column) -> Column:
+    """P7 step 1: remove - whitespace ; , : _ ( ) /."""
+    return F.regexp_replace(floored, fixed.UNITS_STRIP_PATTERN, "")
+
+
 def units_number(floored: Column) -> Column:
-    """Remove - whitespace ; , : _ ( ) / and read a number, else NULL."""
-    return guarded_double(F.regexp_replace(floored, fixed.UNITS_STRIP_PATTERN, ""))
+    """A number, else NULL."""
+    return guarded_double(units_strip(floored))
 
 
 def unit_cost(charge: Column, discount: Column, units: Column) -> Column:
@@ -62,33 +82,6 @@ def round3(c: Column) -> Column:
     return F.coalesce(F.rint(c * F.lit(1000.0)) / F.lit(1000.0), F.lit(0.0))
 
 
-def service_quantity(units: Column) -> Column:
-    """P10: half-even rounded units, missing -> 0, then 0 -> 1."""
-    q = F.rint(F.coalesce(units, F.lit(0.0))).try_cast("long")
-    return F.when(q == 0, F.lit(1).cast("long")).otherwise(q)
-
-
-# Step forms of the rules above, for plans that keep each intermediate value
-# in its own column. A value used twice inside CASE branches is otherwise
-# inlined and evaluated twice (subexpression elimination does not reach into
-# conditional branches); a column referenced twice is computed once.
-
-def money_text(c: Column) -> Column:
-    """P5 step 1: strip whitespace, '$', '(', ')' and ','."""
-    return F.regexp_replace(c, fixed.MONEY_STRIP_PATTERN, "")
-
-
-def floor_units_text(text: Column) -> Column:
-    """P6 on units text already canonical (``units_text``); missing -> 'nan'."""
-    t = F.coalesce(text, F.lit("nan"))
-    return F.when(t < F.lit("1"), F.lit("1.00")).otherwise(t)
-
-
-def units_strip(floored: Column) -> Column:
-    """P7 step 1: remove - whitespace ; , : _ ( ) /."""
-    return F.regexp_replace(floored, fixed.UNITS_STRIP_PATTERN, "")
-
-
 def rounded_units(units: Column) -> Column:
     """P10 step 1: half-even rounded units, missing -> 0."""
     return F.rint(F.coalesce(units, F.lit(0.0))).try_cast("long")
@@ -99,6 +92,15 @@ def quantity_from_rounded(q: Column) -> Column:
     return F.when(q == 0, F.lit(1).cast("long")).otherwise(q)
 
 
+def service_quantity(units: Column) -> Column:
+    """P10."""
+    return quantity_from_rounded(rounded_units(units))
+
+
+# The same rules with each intermediate value in a column of its own: a value
+# used twice inside CASE branches is otherwise inlined and evaluated twice
+# (subexpression elimination does not reach into conditional branches).
+
 def with_units(df: DataFrame, col: str = "units", prefix: str = "_u") -> DataFrame:
     """P6 + P7 as staged columns: ``{prefix}_text`` (canonical text, the O3
     order), ``{prefix}_floored`` (P6) and ``{prefix}_num`` (P7); each regex runs
@@ -112,11 +114,5 @@ def with_units(df: DataFrame, col: str = "units", prefix: str = "_u") -> DataFra
 def with_money(df: DataFrame, col: str, out: str, paren_negative: bool = False) -> DataFrame:
     """P5 as staged columns: ``out`` (value) and ``{out}_bad`` (error flag)."""
     df = df.withColumn(f"{out}_text", money_text(F.col(col)))
-    t = F.col(f"{out}_text")
-    value = guarded_double(t)
-    if paren_negative:
-        value = F.when(F.col(col).contains("("), -value).otherwise(value)
-    return df.withColumns({
-        out: value,
-        f"{out}_bad": F.col(col).isNotNull() & ~t.rlike(PLAIN_NUMBER),
-    }).drop(f"{out}_text")
+    value, bad = money_value(F.col(col), F.col(f"{out}_text"), paren_negative)
+    return df.withColumns({out: value, f"{out}_bad": bad}).drop(f"{out}_text")

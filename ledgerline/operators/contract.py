@@ -42,15 +42,6 @@ def missing_required_message(missing: Column) -> Column:
     )
 
 
-def check_required(headers: DataFrame, header_col: str = "header",
-                   required: Sequence[str] = tuple(fixed.REQUIRED_COLUMNS)) -> DataFrame:
-    """C2 over a table of (document, header array): adds `missing_columns` and `required_error`."""
-    miss = missing_required(F.col(header_col), required)
-    return headers.withColumn("missing_columns", miss).withColumn(
-        "required_error", missing_required_message(F.col("missing_columns"))
-    )
-
-
 def check_empty(docs: DataFrame, rows: DataFrame, key: str = "document_id") -> DataFrame:
     """Documents with no row left after C1 get the empty-file message.
 

@@ -155,16 +155,10 @@ def q_k1(spark, sf):
     return sheet.upload_sheet(flagship(spark, sf), PARAMS, stamp)
 
 
-@register("c5_project", O.normalized_sql(
-    "document_id, row_id AS row_ord, 'Carrier' AS vendor, billing_account_number AS account_identifier, "
-    "install_date AS service_start_date, carrier_circuit_id AS alternate_id, account_description_1 AS customer_name, "
-    "bus_org_id AS customer_number, piid_product AS piid_parent, product_line AS vendor_product_line, "
-    "bill_invoice_number AS latest_invoice_number, doc_label AS doc_id, '' AS service_term"))
+@register("c5_project", O.normalized_sql("document_id, row_ord, " + ", ".join(sheet.SHEET_NAMES)).replace(
+    "FROM enriched\n", f"FROM (SELECT {O.output_select_sql()}, pre_error FROM enriched)\n"))
 def q_c5(spark, sf):
-    return flagship(spark, sf).select(
-        "document_id", "row_ord", "vendor", "account_identifier", "service_start_date", "alternate_id",
-        "customer_name", "customer_number", "piid_parent", "vendor_product_line", "latest_invoice_number",
-        "doc_id", "service_term")
+    return flagship(spark, sf).select("document_id", "row_ord", *sheet.SHEET_NAMES)
 
 
 # ----------------------------------------------------------------------------------------
@@ -460,7 +454,8 @@ def q_a1(spark, sf):
     return status.first_value(rows, "document_id", "invoice_date_norm", "row_id", "extraction_date")
 
 
-_A4_COLS = ["service_id", "piid_product", "units", "currency", "location_a_city", "bill_to_date"]
+# every input column but the two that make the key
+_A4_COLS = [c for c in O.PRESENT_INPUT if c != "charge_description"]
 
 
 @register("a4_first_per_key", with_billing_lines(
@@ -503,13 +498,13 @@ def q_o4(spark, sf):
 # Contract: C1-C4, C7, C8
 # ----------------------------------------------------------------------------------------
 
-_C1_COLS = ["service_id", "piid_product", "currency"]
-
-
+# The fixture, and a row without any value for each of its documents.
 @register("c1_drop_blank", with_billing_lines(
-    "SELECT service_id, piid_product, currency FROM billing_lines WHERE COALESCE(service_id, piid_product, currency) IS NOT NULL"))
+    "SELECT document_id, " + ", ".join(O.PRESENT_INPUT) + " FROM billing_lines WHERE COALESCE(" + ", ".join(O.PRESENT_INPUT) + ") IS NOT NULL"))
 def q_c1(spark, sf):
-    return contract.drop_blank_rows(billing_lines(spark, sf).select(*_C1_COLS), _C1_COLS)
+    lines = billing_lines(spark, sf).select("document_id", *O.PRESENT_INPUT)
+    nothing = lines.select("document_id", *[F.lit(None).cast("string").alias(c) for c in O.PRESENT_INPUT]).distinct()
+    return contract.drop_blank_rows(lines.unionByName(nothing), O.PRESENT_INPUT)
 
 
 @register("c3_empty", with_billing_lines(f""",
@@ -536,12 +531,17 @@ def q_c7(spark, sf):
     return contract.drop_columns(billing_lines(spark, sf))
 
 
-@register("c8_sheet_columns", with_billing_lines(
-    "SELECT billing_account_number AS account_identifier, CAST(NULL AS VARCHAR) AS product_name, currency, "
-    "CAST(NULL AS VARCHAR) AS location_a, row_id AS row_ord FROM billing_lines"))
+# The 40 output names over the input lines: those that the input has, else empty columns.
+_C8_HAVE = {"account_identifier": "billing_account_number", "currency": "currency", "service_start_date": "bill_from_date",
+            "service_identifier": "service_id", "location_a": "location_a_city", "piid_parent": "piid_product"}
+
+
+@register("c8_sheet_columns", with_billing_lines("SELECT " + ", ".join(
+    f"{_C8_HAVE[c]} AS {c}" if c in _C8_HAVE else f"CAST(NULL AS VARCHAR) AS {c}" for c in sheet.SHEET_NAMES)
+    + ", row_id AS row_ord FROM billing_lines"))
 def q_c8(spark, sf):
-    d = billing_lines(spark, sf).withColumnsRenamed({"billing_account_number": "account_identifier", "row_id": "row_ord"})
-    return contract.project_columns(d, ["account_identifier", "product_name", "currency", "location_a", "row_ord"])
+    d = billing_lines(spark, sf).withColumnsRenamed({v: k for k, v in _C8_HAVE.items()} | {"row_id": "row_ord"})
+    return contract.project_columns(d, [*sheet.SHEET_NAMES, "row_ord"])
 
 
 # ----------------------------------------------------------------------------------------

@@ -97,12 +97,12 @@ def parse_cols_sql(s: str = "charge_description", br: str = "branch") -> str:
 
 
 def money_sql(c: str) -> str:
-    cleaned = f"regexp_replace({c}, '[\\s$(),]', '', 'g')"
+    cleaned = f"regexp_replace({c}, '[\\s\\x{{00A0}}$(),]', '', 'g')"
     return f"CASE WHEN regexp_full_match({cleaned}, {q(NUM)}) THEN TRY_CAST({cleaned} AS DOUBLE) END"
 
 
 def money_bad_sql(c: str) -> str:
-    cleaned = f"regexp_replace({c}, '[\\s$(),]', '', 'g')"
+    cleaned = f"regexp_replace({c}, '[\\s\\x{{00A0}}$(),]', '', 'g')"
     return f"({c} IS NOT NULL AND NOT regexp_full_match({cleaned}, {q(NUM)}))"
 
 
@@ -118,7 +118,7 @@ def floor_units_sql(u: str) -> str:
 
 
 def units_num_sql(floored: str) -> str:
-    r = f"regexp_replace({floored}, '[-\\s;,:_()\\/]', '', 'g')"
+    r = f"regexp_replace({floored}, '[-\\s\\x{{00A0}};,:_()\\/]', '', 'g')"
     return f"(CASE WHEN regexp_full_match({r}, {q(NUM)}) THEN TRY_CAST({r} AS DOUBLE) END)"
 
 

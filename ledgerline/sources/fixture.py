@@ -3,8 +3,10 @@
 It maps lineitem x orders x part onto the invoice contract (canonical names,
 all text) and reaches every description branch, missing keys, small, blank,
 missing and comma units, '$' and parenthesis money, missing end dates, a
-document whose lines carry a description error (DOC-8, DOC-9) and a document
-made only of one-time charges (DOC-10). The same rows are produced by
+document whose lines carry a description error (DOC-8, DOC-9), a document
+made only of one-time charges (DOC-10), documents with an unreadable invoice date
+(DOC-5), discount (DOC-6) and charge (DOC-7), no-break spaces in money and units, and dates
+in two layouts. The same rows are produced by
 ``BILLING_LINES_SQL`` for the DuckDB oracle.
 
 Also: the fixture "run" (manifest from `customer`, already-converted outputs
@@ -60,6 +62,10 @@ def billing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((branch == 9) & (F.col("l_returnflag") == "R"), F.lit("DOC-10"))
         .otherwise(F.concat(F.lit("DOC-"), _s(F.col("o_custkey") % 8)))
     )
+    nbsp = F.lit("\u00a0")
+    ordered = F.col("o_orderdate").cast("date")
+    rare = pk % 20 == 0  # rows that make their document fail
+    in_doc = lambda n: document_id == F.lit(f"DOC-{n}")
     return j.select(
         F.concat_ws("/", _s(ok), _s(ln), _s(pk), _s(sk), _s(F.col("l_quantity")), _s(F.col("l_extendedprice"))).alias("row_id"),
         document_id.alias("document_id"),
@@ -72,24 +78,30 @@ def billing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("p_type")).alias("product_line"),
         F.when(F.col("p_size") % 6 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("PIID-"), _s(F.col("p_size")))).alias("piid_product"),
-        F.concat(F.lit("$"), _s(F.col("l_extendedprice"))).alias("charge_amount"),
-        F.concat(F.lit("("), _s(ln * 10), F.lit(".00)")).alias("discount_amount"),
+        F.when(in_doc(7) & rare, F.lit("on request")).when(ln == 6, F.concat(F.lit("$"), nbsp, _s(F.col("l_extendedprice"))))
+        .otherwise(F.concat(F.lit("$"), _s(F.col("l_extendedprice")))).alias("charge_amount"),
+        F.when(in_doc(6) & rare, F.lit("10%")).otherwise(F.concat(F.lit("("), _s(ln * 10), F.lit(".00)"))).alias("discount_amount"),
         F.when(ln == 1, F.lit("")).when(ln == 2, F.lit("0.5")).when(ln == 3, F.lit(None).cast("string"))
-        .when(ln == 4, F.lit("1,000")).otherwise(_s(F.col("l_quantity"))).alias("units"),
+        .when(ln == 4, F.lit("1,000")).when(ln == 6, F.concat(nbsp, _s(F.col("l_quantity"))))
+        .otherwise(_s(F.col("l_quantity"))).alias("units"),
         F.when(sk % 5 == 0, F.lit(None).cast("string")).otherwise(F.lit("EUR")).alias("currency"),
         F.col("p_brand").alias("service_address_a"),
         F.when(ln == 6, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("location_a_city"),
         F.when(ln == 2, F.lit(None).cast("string")).otherwise(F.col("o_orderstatus")).alias("location_a_state"),
         F.lit("US").alias("location_a_country"),
-        _s(F.col("o_orderdate").cast("date")).alias("invoice_date"),
-        _s(F.col("o_orderdate").cast("date")).alias("bill_from_date"),
+        F.when(in_doc(5) & rare, F.lit("soon")).when(ln == 2, F.date_format(ordered, "M/d/yyyy")).otherwise(_s(ordered)).alias("invoice_date"),
+        F.when(ln == 3, F.date_format(ordered, "M/d/yyyy")).otherwise(_s(ordered)).alias("bill_from_date"),
         F.when(ln == 5, F.lit(None).cast("string")).otherwise(_s(F.col("l_shipdate"))).alias("bill_to_date"),
     )
 
 
 # The same view for DuckDB (the oracle side). Kept in step with billing_lines().
 BILLING_LINES_SQL = """
-SELECT CAST(l.l_orderkey AS VARCHAR) || '/' || CAST(l.l_linenumber AS VARCHAR) || '/' || CAST(l.l_partkey AS VARCHAR)
+SELECT * EXCLUDE (rare) REPLACE (
+  CASE WHEN document_id = 'DOC-7' AND rare THEN 'on request' ELSE charge_amount END AS charge_amount,
+  CASE WHEN document_id = 'DOC-6' AND rare THEN '10%' ELSE discount_amount END AS discount_amount,
+  CASE WHEN document_id = 'DOC-5' AND rare THEN 'soon' ELSE invoice_date END AS invoice_date)
+FROM (SELECT l.l_partkey % 20 = 0 AS rare, CAST(l.l_orderkey AS VARCHAR) || '/' || CAST(l.l_linenumber AS VARCHAR) || '/' || CAST(l.l_partkey AS VARCHAR)
     || '/' || CAST(l.l_suppkey AS VARCHAR) || '/' || CAST(l.l_quantity AS VARCHAR)
     || '/' || CAST(l.l_extendedprice AS VARCHAR) AS row_id,
   CASE WHEN l.l_orderkey % 10 = 8 THEN 'DOC-' || CAST(8 + o.o_custkey % 2 AS VARCHAR)
@@ -112,19 +124,19 @@ SELECT CAST(l.l_orderkey AS VARCHAR) || '/' || CAST(l.l_linenumber AS VARCHAR) |
   CASE l.l_returnflag WHEN 'R' THEN 'NON-RECURRING' WHEN 'A' THEN 'Usage' ELSE 'Recurring' END AS charge_type,
   CASE p.p_type WHEN 'ECONOMY' THEN 'HSIP' WHEN 'PROMO' THEN 'Wavelength' ELSE p.p_type END AS product_line,
   CASE WHEN p.p_size % 6 = 0 THEN NULL ELSE 'PIID-' || CAST(p.p_size AS VARCHAR) END AS piid_product,
-  '$' || CAST(l.l_extendedprice AS VARCHAR) AS charge_amount,
+  CASE l.l_linenumber WHEN 6 THEN '$' || chr(160) ELSE '$' END || CAST(l.l_extendedprice AS VARCHAR) AS charge_amount,
   '(' || CAST(l.l_linenumber * 10 AS VARCHAR) || '.00)' AS discount_amount,
   CASE l.l_linenumber WHEN 1 THEN '' WHEN 2 THEN '0.5' WHEN 3 THEN NULL WHEN 4 THEN '1,000'
-    ELSE CAST(l.l_quantity AS VARCHAR) END AS units,
+    WHEN 6 THEN chr(160) || CAST(l.l_quantity AS VARCHAR) ELSE CAST(l.l_quantity AS VARCHAR) END AS units,
   CASE WHEN l.l_suppkey % 5 = 0 THEN NULL ELSE 'EUR' END AS currency,
   p.p_brand AS service_address_a,
   CASE WHEN l.l_linenumber = 6 THEN NULL ELSE p.p_type END AS location_a_city,
   CASE WHEN l.l_linenumber = 2 THEN NULL ELSE o.o_orderstatus END AS location_a_state,
   'US' AS location_a_country,
-  CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS invoice_date,
-  CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS bill_from_date,
+  CASE l.l_linenumber WHEN 2 THEN strftime(CAST(o.o_orderdate AS DATE), '%-m/%-d/%Y') ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS invoice_date,
+  CASE l.l_linenumber WHEN 3 THEN strftime(CAST(o.o_orderdate AS DATE), '%-m/%-d/%Y') ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS bill_from_date,
   CASE WHEN l.l_linenumber = 5 THEN NULL ELSE CAST(l.l_shipdate AS VARCHAR) END AS bill_to_date
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey)
 """
 
 
