@@ -62,6 +62,7 @@ OTHER_WORDS = frozenset(
     "social pagination pager toolbar".split()
 )
 ARTICLE_WORDS = frozenset("comment comments reply related recommended ad ads advert sponsored promo".split())
+NEGATIONS = frozenset("has have no not with without".split())
 KEPT_WHOLE = frozenset("html body article main".split())
 
 _TAG = re.compile(
@@ -92,7 +93,9 @@ def says_other(tag: str, attributes: str, in_article: bool) -> bool:
             if "display:none" in value.replace(" ", ""):
                 return True
         elif name != "aria-hidden":
-            words = _WORDS.split(value)
+            # has-sidebar, no-comments: said of a page, not of the element
+            names = [_WORDS.split(v) for v in value.split()]
+            words = [w for parts in names if parts[0] not in NEGATIONS for w in parts]
             if not allowed.isdisjoint(words) or (not in_article and tag != "article" and "header" in words):
                 return True
     return False
@@ -150,6 +153,9 @@ class Page:
         self.hash.append(0)
         self.tag.append(tag)
         self.other.append(says_other(tag, attributes, self._articles > 0))
+        if tag == "main":  # what holds the main part is none of the others
+            for n in self._stack:
+                self.other[n] = self.other[n] and self.tag[n] in OTHER_TAGS
         self._articles += tag in ("article", "main")
         self._block += tag in BLOCK
         self._stack.append(len(self.parent) - 1)

@@ -57,6 +57,8 @@ def test_page_text_without_other_parts():
     assert html_text.Page("<p>a<p>b<ul><li>c<li>d</ul><table><tr><td>e<td>f</table>1 < 2").text() == "a\nb\nc\nd\ne\nf\n1 < 2"
     assert html_text.Page("<div hidden>x</div><div style='display: none'>y</div><p>z</p><!-- open").text() == "z"
     assert html_text.Page("<main><p>a</p></main><p>b</p>").text() == "a"
+    assert html_text.Page("<div class='page has-sidebar'><p>a</p><div class=sidebar>b</div></div>").text() == "a"
+    assert html_text.Page("<div class='menu-layout'><main>a</main></div>").text() == "a"
 
 
 def test_recurring_subtrees_go_and_copies_stay(spark):
