@@ -136,8 +136,7 @@ def schedule(docs: DataFrame, text: Column | None = None, keys: tuple[str, ...]
     parts = parts.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / size))))
     parts = parts.withColumn("begin", F.col("epoch") * size + F.col("at"))
     parts = parts.withColumn("end", F.least(F.col("begin") + F.col("size"), F.col("quota"))).filter("begin < end")
-    last = F.floor(F.lit(0) + F.col("begin") / block), F.floor((F.col("end") - 1) / block)
-    parts = parts.withColumn("cut", F.explode(F.sequence(*last)))
+    parts = parts.withColumn("cut", F.explode(F.sequence(F.floor(F.col("begin") / block), F.floor((F.col("end") - 1) / block))))
     # the tape's last block has no slot of its own when the shares round down: it belongs to the one before
     slots = slots.withColumn("cut", F.explode(F.when(F.col("block") == F.col("n_slots") - 1, F.sequence(F.col("block"), F.greatest(F.col("block"), F.floor((F.col("quota") - 1) / block)))).otherwise(F.array("block"))))
     mix = parts.join(slots.select("sid", "cut", "slot"), ["sid", "cut"])

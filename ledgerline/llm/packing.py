@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -191,15 +190,19 @@ def pack_partitions(rest: DataFrame, parts: int, round_no: int, capacity: int) -
         "part", F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32", F.lit(round_no)), F.lit(max(1, parts)))
     )
 
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+    def pack(pieces: pa.Table) -> pa.Table:
         # in the order of the values: a rerun packs alike, whatever order the rows came in
-        frame = frame.sort_values(["length", "ids_crc32", "doc_id", "piece"], kind="stable", ignore_index=True)
-        lengths = frame["length"].to_numpy()
+        pieces = pieces.sort_by([(c, "ascending") for c in ("length", "ids_crc32", "doc_id", "piece")])
+        lengths = pieces["length"].to_numpy()
         bins, offsets, n = best_fit_decreasing(lengths, capacity)
-        return frame.assign(bin=bins, offset=offsets, n_bins=n, bound=lower_bound(lengths, capacity))
+        same = np.ones(len(lengths), np.int64)
+        added = {"bin": bins, "offset": offsets, "n_bins": same * n, "bound": same * lower_bound(lengths, capacity)}
+        for name, values in added.items():
+            pieces = pieces.append_column(name, pa.array(values, pa.int64()))
+        return pieces
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    return dealt.groupBy("part").applyInPandas(pack, f"{fields}, bin long, offset long, n_bins long, bound long")
+    return dealt.groupBy("part").applyInArrow(pack, f"{fields}, bin long, offset long, n_bins long, bound long")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, rounds: int = ROUNDS, end_id: int = END_ID) -> DataFrame:
