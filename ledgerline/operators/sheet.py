@@ -116,38 +116,51 @@ def _preamble_cells(params: JobParams, stamp_text: Column) -> list[list[Column]]
     ]
 
 
+def _data_cells() -> list[Column]:
+    return [F.col(name).cast("string").alias(f"_c{i}") for i, name in enumerate(SHEET_NAMES)]
+
+
+def _preamble(docs: DataFrame, params: JobParams, stamp_text: Column, number: str) -> DataFrame:
+    """``docs`` with the eight preamble rows of each: ``number`` (1 to 8) and the cells.
+    They come from exploding an array of eight, not from a cross join."""
+    structs = F.array(*[
+        F.struct(F.lit(k + 1).cast("long").alias(number), *[c.alias(f"_c{i}") for i, c in enumerate(cells)])
+        for k, cells in enumerate(_preamble_cells(params, stamp_text))
+    ])
+    return docs.select(*docs.columns, F.inline(structs))
+
+
 def upload_sheet(normalized: DataFrame, params: JobParams, stamp_text: Column, doc: str = "document_id",
                  row_ord: str = "row_ord") -> DataFrame:
     """K1 + U2 + C9: sheet rows (doc, doc_label, sheet_row, _c0.._c39), all text.
 
     Rows 1-8 per document are the preamble (blank header row, title, blank,
     client, user, run stamp, blank, column headers), data from row 9 in O5
-    order. The preamble comes from exploding an 8-element array per document,
-    not from a cross join.
+    order.
     """
     ordered = sheet_order(normalized, doc=doc, out="_o", row_ord=row_ord)
     data = ordered.select(
-        F.col(doc), F.col("doc_id").alias("doc_label"), (F.col("_o") + F.lit(PREAMBLE_ROWS)).alias("sheet_row"),
-        *[F.col(name).cast("string").alias(f"_c{i}") for i, name in enumerate(SHEET_NAMES)],
-    )
-    rows = _preamble_cells(params, stamp_text)
-    structs = F.array(*[
-        F.struct(F.lit(k + 1).cast("long").alias("sheet_row"), *[c.alias(f"_c{i}") for i, c in enumerate(cells)])
-        for k, cells in enumerate(rows)
-    ])
-    docs = ordered.groupBy(doc).agg(F.first("doc_id").alias("doc_label"))  # from the written, ordered rows
-    pre = docs.select(F.col(doc), F.col("doc_label"), F.inline(structs))
-    return pre.unionByName(data)
-
-
-def write_sheet(sheet: DataFrame, path: str) -> None:
-    """K1 sink: one folder per output, headerless CSV. Range-partitioned on
-    (output, sheet row) so a large document is written by many tasks; part
-    files in name order hold the rows in sheet order. An output that is
-    written again replaces its earlier rows; others stay."""
-    cols = [f"_c{i}" for i in range(len(SHEET_NAMES))]
-    (sheet.repartitionByRange("output", "sheet_row")
-     .sortWithinPartitions("output", "sheet_row")
-     .select("output", *cols)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("output")
+        F.col(doc), F.col("doc_id").alias("doc_label"), (F.col("_o") + F.lit(PREAMBLE_ROWS)).alias("sheet_row"), *_data_cells())
+    docs = ordered.select(doc, F.col("doc_id").alias("doc_label")).distinct()  # from the written, ordered rows
+    return _preamble(docs, params, stamp_text, "sheet_row").unionByName(data)
+
+
+def write_sheets(normalized: DataFrame, params: JobParams, stamp_text: Column, path: str, output: str = "output",
+                 row_ord: str = "row_ord") -> None:
+    """K1 sink: one folder per output, headerless CSV, rows as in ``upload_sheet``.
+
+    Files need the rows' order, not their numbers: one range partitioning on
+    (output, preamble first, order keys) puts a large document into many tasks
+    and part files in name order hold its rows in sheet order. The partitioner samples its
+    input, so ``normalized`` should be a written table. An output that is written
+    again replaces its earlier rows; others stay."""
+    keys = {"_o0": "service_identifier", "_o1": "piid_parent", "_o2": "units_order", "_o3": row_ord}
+    data = normalized.select(output, F.lit(9).cast("long").alias("_line"), *[F.col(c).alias(k) for k, c in keys.items()], *_data_cells())
+    pre = _preamble(normalized.select(output).distinct(), params, stamp_text, "_line")
+    rows = pre.unionByName(data, allowMissingColumns=True)
+    order = [F.col(output), F.col("_line"), F.col("_o0").asc_nulls_first(), F.col("_o1").asc_nulls_last(),
+             F.col("_o2").asc_nulls_first(), F.col("_o3").asc_nulls_first()]
+    (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+     .select(output, *[f"_c{i}" for i in range(len(SHEET_NAMES))])
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(output)
      .option("header", False).option("escape", '"').csv(path))
