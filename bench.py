@@ -27,6 +27,7 @@ HEADLINE = [
     "a6_status",  # status per manifest record (whole job + J1/J2)
     "o5_order",  # skew-safe sheet order
     "k1_sheet",  # upload sheet rows
+    "run_csv",  # the whole run, CSV files to sheets and status
     "s1_scan_bills",  # CSV source with per-file header mapping
     "p1_parse",  # description split
     "w1_latest",  # latest row per key
