@@ -9,16 +9,16 @@ whole band share a bucket and are candidates.
 2. In each bucket every class is paired with the bucket's smallest id, the pairs
    are confirmed on the full sets, and linked classes get a common label (connected
    components). A bucket costs pairs in proportion to its size, not to its square.
-3. Buckets that still hold several labels are looked at again with another leader,
-   up to ``ROUNDS`` leaders; what is left after that is paired completely, except for
-   pairs that can't be similar: by their set sizes, or because their distances to a
-   common leader differ by more than a link allows (Jaccard distance is a metric).
+3. Classes of buckets that still hold several labels are compared further, except for
+   pairs that can't be similar by an exact prefix, position and size filter on their
+   shingles, and for pairs whose signatures agree in far too few values. Large groups of
+   near copies, or of texts around one common passage, leave few pairs there.
 
-So no link between documents that share a bucket is lost, and nothing is capped. A pair at
-the threshold misses all bands with probability (1 - 0.85^4)^24 < 3e-8.
+Nothing is capped. A pair just at the threshold is missed with the probability that it shares no
+band, (1 - 0.85^4)^24 < 3e-8 (at 0.8: 4e-6), or that its signatures agree too little, about 1e-8.
 
 Scale: signatures are written once and narrow; texts move only for documents in
-buckets with several classes, and once per round for the pairs confirmed in it.
+buckets with several classes, and for the pairs that are confirmed.
 Bucket sizes come from partial aggregates; a bucket with a third of all classes is
 joined to its one leader, which AQE's skew join splits. Labels are spread by
 large-star / small-star rounds, each written to the shared folder.
@@ -31,6 +31,7 @@ an id is linked with nothing, has a null component and is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +41,18 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerline.llm.common import byte_chunks, fresh, materialize, mix64, shingle_hashes, table, utf8
 
-WORDS = 3
 PERMUTATIONS = 48
 BAND_ROWS = 4
-ROUNDS = 3
-PAIRS_PER_MEMBER = 8  # decides how open buckets are finished, not what is linked
-SIMILAR, OF = 85, 100  # linked when OF * intersection >= SIMILAR * union
+ORDER_SAMPLE, ORDER_LEAST = 4_000, 4
+LOW_BITS = 0x5555555555555555
+
+
+class Likeness(NamedTuple):
+    """Documents are linked when 100 * intersection >= percent * union of their sets of
+    distinct runs of ``words`` words."""
+
+    words: int = 5
+    percent: int = 80
 
 
 def permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +83,7 @@ def band_keys(signature: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return key
 
 
-def distinct_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+def distinct_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, and offsets."""
     hashes, at = shingle_hashes(texts, words)
     doc = np.repeat(np.arange(len(texts)), np.diff(at))
@@ -88,7 +95,7 @@ def distinct_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, n
     return hashes[new], np.concatenate([[0], np.cumsum(counts)])
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, bands): size and 128-bit hash of the set, and its buckets."""
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
@@ -96,7 +103,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         for b in batches:
             ids, texts = b.column(0), utf8(b.column(1).to_pylist())
             for i, j in byte_chunks(texts):
-                hashes, at = distinct_sets(texts[i:j])
+                hashes, at = distinct_sets(texts[i:j], words)
                 sizes = np.diff(at)
                 some = np.flatnonzero(sizes)
                 bands: list = [None] * (j - i)
@@ -119,7 +126,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, out)
 
 
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(a, b, common, all) of ``pairs`` (a, b): the sizes of the intersection and the
     union of their full sets. The b side is joined first, so that a leader (a) that
     many pairs share moves with the last join only."""
@@ -131,7 +138,7 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for at in range(0, b.num_rows, 256):
                 left, right = (utf8(b.column(k).slice(at, 256).to_pylist()) for k in (2, 3))
                 index = {t: i for i, t in enumerate(dict.fromkeys(left + right))}  # a leader's text is hashed once
-                hashes, off = distinct_sets(list(index))
+                hashes, off = distinct_sets(list(index), words)
                 sets = [hashes[off[i] : off[i + 1]] for i in range(len(index))]
                 pair = [(sets[index[x]], sets[index[y]]) for x, y in zip(left, right, strict=True)]
                 common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in pair]
@@ -146,8 +153,7 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable over ``edges`` (a, b), by alternating
-    large-star and small-star rounds until nothing changes."""
-    state = None
+    large-star and small-star rounds until every node hangs on its label directly."""
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         # large star: each node's larger neighbours are tied to its smallest one
@@ -157,65 +163,39 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
         edges = materialize(small.filter("a <> b").distinct(), "dedup-labels")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == state:
+        twice = edges.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a")
+        onward = edges.select(F.col("b").alias("a")).distinct().join(edges.select("a"), "a", "left_semi")
+        if twice.union(onward).isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-        state = tuple(now)
 
 
-def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    sketch = materialize(sketches(docs), "dedup-sketches")
+    sketch = materialize(sketches(docs, like.words), "dedup-sketches")
     named = sketch.filter("n_shingles > 0 and doc_id is not null")
     of_class = ["set_a", "set_b", "n_shingles"]
     classes = materialize(named.groupBy(*of_class).agg(F.min("doc_id").alias("rep")), "dedup-classes")
     buckets = named.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *of_class])
-    buckets = buckets.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    buckets = buckets.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader <> last").select("bucket", "leader")
-    # classes in buckets with others, and each bucket's first leader
-    members = buckets.join(shared, "bucket").distinct().withColumn("label", F.col("node")).withColumn("far", F.array().cast("array<double>"))
-    members = materialize(members, "dedup-buckets")
+    # classes in buckets with others, and each bucket's leader
+    members = materialize(buckets.join(shared, "bucket").distinct(), "dedup-buckets")
     texts = docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     texts = materialize(texts, "dedup-texts")
 
     # rows that repeat an id and are in several classes: the id ties them
     repeated = named.groupBy("doc_id").agg(F.countDistinct(*of_class).alias("sets")).filter("sets > 1")
     ties = named.join(repeated, "doc_id").join(classes, of_class).filter("doc_id <> rep")
-    links = materialize(ties.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "dedup-ties")
-    labels = components(links)
-    for r in range(rounds + 1):
-        final = r == rounds
-        if r:
-            mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-            members = members.drop("leader").join(mixed.select("bucket", "low"), "bucket")
-            # what is open is paired completely as soon as that is no more work than a few more leaders
-            sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"))
-            work = sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()
-            final = final or (work[1] or 0) <= PAIRS_PER_MEMBER * (work[0] or 0)
-            # another leader: the smallest node that isn't linked with the smallest label
-            leaders = members.filter("label <> low").groupBy("bucket").agg(F.min("node").alias("leader"))
-            members = materialize(members.drop("low").join(leaders, "bucket"), f"dedup-open{r}")
-        if final:
-            pairs = remaining_pairs(members)
-        else:
-            lead = members.filter("node = leader").select("bucket", F.col("label").alias("leader_label")).distinct()
-            pairs = members.filter("node <> leader").join(lead, "bucket").filter("label <> leader_label")
-            pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        pairs = materialize(pairs, f"dedup-pairs{r}")
-        if pairs.isEmpty():
-            break
-        checked = materialize(compared(pairs, texts), f"dedup-compared{r}")
-        found = checked.filter(F.col("common") * OF >= F.col("all") * SIMILAR).select("a", "b")
-        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found))
-        if final:
-            break
-        members = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        far = checked.groupBy("a", "b").agg(F.when(F.count("*") == 1, F.min(1 - F.col("common") / F.col("all"))).alias("new"))
-        members = members.join(far.select(F.col("a").alias("leader"), F.col("b").alias("node"), "new"), ["leader", "node"], "left")
-        new = F.when(F.col("node") == F.col("leader"), F.lit(0.0)).otherwise(F.col("new"))
-        members = members.withColumn("far", F.concat("far", F.array(new))).drop("new")
-        members = materialize(members, f"dedup-members{r}")
+    ties = ties.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    pairs = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    labels = components(linked(pairs, texts, like).union(ties).distinct())
+    found = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = found.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+    open_nodes = materialize(found.join(mixed, "bucket").select("node", "label").distinct(), "dedup-open")
+    if not open_nodes.isEmpty():
+        pairs = materialize(prefix_pairs(open_nodes, texts, like), "dedup-pairs")
+        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(linked(pairs, texts, like)))
 
     out = sketch.select("doc_id", *of_class).join(classes, of_class, "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep")))
     out = out.join(labels, F.col("rep") == F.col("node"), "left")
@@ -223,26 +203,102 @@ def near_duplicates(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def size_allows(a: str, b: str):
-    """The smaller set's size is at least the threshold's share of the larger one's."""
-    return OF * F.least(a, b) >= SIMILAR * F.greatest(a, b)
-
-
-def remaining_pairs(members: DataFrame) -> DataFrame:
-    """Every pair of a bucket with different labels that neither sizes nor the
-    distances to the bucket's leaders exclude, once."""
-    reach = 1 - SIMILAR / OF
-    first = F.try_element_at("far", F.lit(1))
-    m = members.select("bucket", "node", "label", "n", "far", F.floor(first / reach).cast("int").alias("cell"))
-    # cells as wide as a link's reach: similar nodes are in the same or a neighbouring one
-    near = m.filter("cell is not null").withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)))
-    seen = m.filter("cell is not null").alias("x").join(near.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cell") == F.col("y.cell")))
-    # nodes whose distance isn't known meet all others
-    blind = m.filter("cell is null").alias("x").join(m.alias("y"), F.col("x.bucket") == F.col("y.bucket"))
-    apart = F.zip_with("x.far", "y.far", lambda s, t: F.coalesce(F.abs(s - t) > reach + 1e-9, F.lit(False)))
-    fits = (F.col("x.label") != F.col("y.label")) & size_allows("x.n", "y.n") & ~F.exists(apart, lambda z: z)
+def linked(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose full sets are similar enough."""
+    same = compared(pairs, texts, like.words).filter(F.col("common") * 100 >= F.col("all") * like.percent).select("a", "b")
+    return materialize(same, "dedup-links")
+
+
+def common_shingles(nodes: DataFrame, texts: DataFrame, words: int, sample: int = ORDER_SAMPLE) -> dict[int, int]:
+    """How often shingles occur in a bounded sample of the nodes' sets (those that
+    occur at least ORDER_LEAST times). Only the order of shingles comes from it, which decides how
+    much work prefix_pairs has, not what it finds."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                hashes, _ = distinct_sets(utf8(b.column(0).slice(at, 256).to_pylist()), words)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["shingle"])
+
+    drawn = nodes.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(sample)
+    rows = texts.join(F.broadcast(drawn.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi").select("text")
+    often = rows.mapInArrow(emit, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= ORDER_LEAST)
+    return {r.shingle: r.n for r in often.collect()}  # at most sample sets / ORDER_LEAST
+
+
+def signature_bits(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Two low bits of each signature value of the sets ``hashes[at[i]:at[i + 1]]``, packed into signed 64-bit numbers."""
+    out = np.zeros((len(at) - 1, 2 * 2 * PERMUTATIONS // 64), np.uint64)
+    some = np.flatnonzero(np.diff(at))
+    if len(some):
+        two = mix64(min_max(hashes.view(np.uint64), np.append(at[some], at[-1]))) & np.uint64(3)
+        for k in range(32):
+            out[some] |= two[:, k :: 32] << np.uint64(2 * k)
+    return out.view(np.int64)
+
+
+def least_equal(percent: int) -> int:
+    """How many two-bit values of similar sets' signatures are equal at least, but for
+    a chance of about one in 10^8 (6.3 standard deviations; for pairs just at the threshold)."""
+    n, j = 2 * PERMUTATIONS, percent / 100
+    p = j + (1 - j) / 4
+    return int(n * p - 6.3 * (n * p * (1 - p)) ** 0.5)
+
+
+def prefix_pairs(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
+    """(a, b): every pair of ``nodes`` (node, label) with different labels that can be similar.
+
+    Prefix filter: with all sets in one order of shingles, rare ones first, similar sets share a
+    shingle among the first (1 - threshold) of each; and if their first common one is
+    at places i and j, at most the min(|x| - i, |y| - j) shingles from there on are common, which must
+    reach the overlap that the threshold asks for sets of these sizes. Near copies whose own shingles
+    use up that allowance meet nobody, however large their group is. Of the pairs that meet, those
+    whose signatures agree in far too few values (``least_equal``) are left out as well."""
+    words, percent = like
+    known = common_shingles(nodes, texts, words)
+    hashes = np.array(sorted(known), np.int64)
+    counts = np.array([known[int(h)] for h in hashes], np.int64)
+    id_type = nodes.schema["node"].dataType.simpleString()
+    names = [f"bits{k}" for k in range(2 * 2 * PERMUTATIONS // 64)]
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                flat, off = distinct_sets(utf8(part.column(2).to_pylist()), words)
+                flat = flat.view(np.int64)
+                rank = np.zeros(len(flat), np.int64)
+                if len(hashes):
+                    place = np.minimum(np.searchsorted(hashes, flat), len(hashes) - 1)
+                    rank = np.where(hashes[place] == flat, counts[place], 0)
+                sizes = np.diff(off)
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                order = np.lexsort((flat, rank, doc))
+                pos = np.arange(len(flat)) - off[doc]
+                bits = signature_bits(flat, off)
+                keep = pos <= sizes[doc] - -(-percent * sizes[doc] // 100)
+                row = pa.array(doc[keep])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(row), part.column(1).take(row), *map(pa.array, (sizes[doc[keep]], pos[keep], flat[order][keep], *bits[doc[keep]].T))],
+                    names=["node", "label", "n", "pos", "shingle", *names],
+                )
+
+    rows = texts.join(nodes, F.col("doc_id") == F.col("node")).select("node", "label", "text")
+    tokens = materialize(rows.mapInArrow(prefixes, f"node {id_type}, label {id_type}, n long, pos long, shingle long, " + ", ".join(f"{c} long" for c in names)), "dedup-prefixes")
+    lists = tokens.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("shingle", "low")
+    tokens = materialize(tokens.join(lists, "shingle"), "dedup-lists")
+    # of the list's smallest label (its largest group, as a rule) no two nodes need to meet
+    x, y = tokens.filter("label <> low").alias("x"), tokens.alias("y")
+    nx, ny = F.col("x.n"), F.col("y.n")
+    overlap = F.least(nx - F.col("x.pos"), ny - F.col("y.pos"))
+    fits = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent)
+    fits = fits & (overlap * (100 + percent) >= (nx + ny) * percent)
+    # two bits of each signature value: equal fields are the zero fields of the exclusive or
+    differ = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in names]
+    unequal = sum((F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(LOW_BITS))) for d in differ), F.lit(0))
+    fits = fits & (unequal <= 2 * PERMUTATIONS - least_equal(percent))
     ends = [f("x.node", "y.node").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
-    return seen.filter(fits).select(*ends).union(blind.filter(fits).select(*ends)).distinct()
+    return x.join(y, fits).select(*ends).distinct()
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -255,4 +311,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), Likeness(3, 85))

@@ -79,16 +79,16 @@ def test_bad_vectors_take_no_part(spark):
 # --- op7
 
 
-def shingles(text):
+def shingles(text, width=3):
     found = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-    return {tuple(found[i : i + 3]) for i in range(len(found) - 2)} if len(found) >= 3 else {tuple(found)} if found else set()
+    return {tuple(found[i : i + width]) for i in range(len(found) - width + 1)} if len(found) >= width else {tuple(found)} if found else set()
 
 
-def brute_components(rows):
+def brute_components(rows, width=3, percent=85):
     sets = {}
     for i, t in rows:
         if i is not None:
-            sets.setdefault(i, []).append(shingles(t))
+            sets.setdefault(i, []).append(shingles(t, width))
     label = {i: i for i in sets}
 
     def find(x):
@@ -99,7 +99,7 @@ def brute_components(rows):
     ids = sorted(sets)
     for a in ids:
         for b in ids:
-            if a < b and any(x and y and 100 * len(x & y) >= 85 * len(x | y) for x in sets[a] for y in sets[b]):
+            if a < b and any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b]):
                 x, y = find(a), find(b)
                 label[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
@@ -127,18 +127,30 @@ def near_copies(seed=5):
     return rows
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 3])
-def test_components_against_all_pairs(spark, rounds, monkeypatch):
-    monkeypatch.setattr(minmax_dedup, "PAIRS_PER_MEMBER", 0)  # take all leader rounds
+def test_components_against_all_pairs(spark):
     rows = near_copies()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r for r in minmax_dedup.near_duplicates(docs, rounds).collect()}
+    got = {r.doc_id: r for r in minmax_dedup.near_duplicates(docs, minmax_dedup.Likeness(3, 85)).collect()}
     expected = brute_components(rows)
     assert {i: r.component_id for i, r in got.items()} == expected
     assert all(r.n_shingles == len(shingles(t)) for (i, t), r in ((x, got[x[0]]) for x in rows))
     assert all(r.kept == (i == expected[i]) for i, r in got.items())
 
 
+@pytest.mark.parametrize("least", [1, 10_000])
+def test_prefix_filter_keeps_every_similar_pair(spark, least, monkeypatch):
+    monkeypatch.setattr(minmax_dedup, "ORDER_LEAST", least)  # with and without known common shingles
+    rows = [(i, t) for i, t in near_copies(6) if shingles(t)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = texts.selectExpr("doc_id as node", "doc_id as label")
+    got = {tuple(r) for r in minmax_dedup.prefix_pairs(nodes, texts, minmax_dedup.Likeness(3, 85)).collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    similar = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert similar and similar <= got
+    one = nodes.withColumn("label", nodes["label"] * 0)
+    assert minmax_dedup.prefix_pairs(one, texts, minmax_dedup.Likeness(3, 85)).count() == 0  # one label: nothing left to find
+
+
 def test_dedup_of_odd_rows(spark):
     rows = [(1, "a b c d", 1, "x"), (1, "a b c d", 2, "y"), (2, "A b c d", 3, "z"), (None, "a b c d", 4, "n"), (3, "q r s", 5, "q"), (3, "t u v", 6, "t"), (4, "t u v", 7, "t")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label long, rep string")
@@ -345,7 +357,7 @@ def test_pipeline_stages(spark):
     lang = stage["language"](spark, docs, SF)
     assert {r.doc_id for r in lang.collect()} == {d for d, t in texts.items() if any(c.isalpha() for c in t or "")}
     deduped = stage["near_duplicates"](spark, lang, SF)
-    labels = brute_components([(r.doc_id, r.text) for r in lang.collect()])
+    labels = brute_components([(r.doc_id, r.text) for r in lang.collect()], 5, 80)
     assert sorted(r.doc_id for r in deduped.collect()) == sorted(set(labels.values()))
     masked = stage["personal_data"](spark, deduped, SF)
     assert masked.columns == docs.columns and masked.filter("text like '%@mail%'").count() == 0
