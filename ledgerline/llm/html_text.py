@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table
+from ledgerline.llm.common import materialize, table
 from ledgerline.llm.link_trust import url_host
 
 MIN_PAGES = 5
@@ -239,7 +239,8 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE
 
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """(page_id, url, text) of each row of ``pages`` (page_id, url, html)."""
-    found = templates(pages, min_pages, share)
+    # written first: Spark then knows its size, and doesn't shuffle the html for a join with a small table
+    found = materialize(templates(pages, min_pages, share), "site-templates")
     rows = pages.select("page_id", "url", "html").withColumn("host", url_host(F.col("url"))).join(found, "host", "left")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
