@@ -43,8 +43,8 @@ from ledgerline.llm.common import byte_chunks, fresh, materialize, mix64, shingl
 
 PERMUTATIONS = 48
 BAND_ROWS = 4
-ORDER_SAMPLE, ORDER_LEAST = 4_000, 4
-LOW_BITS = 0x5555555555555555
+ORDER_SAMPLE, ORDER_LEAST = 8_000, 4
+LOW_BITS = 0x1111111111111111
 
 
 class Likeness(NamedTuple):
@@ -209,8 +209,8 @@ def linked(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     return materialize(same, "dedup-links")
 
 
-def common_shingles(nodes: DataFrame, texts: DataFrame, words: int, sample: int = ORDER_SAMPLE) -> dict[int, int]:
-    """How often shingles occur in a bounded sample of the nodes' sets (those that
+def common_shingles(nodes: DataFrame, texts: DataFrame, words: int, sample: int = ORDER_SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles, sorted, and how often they occur in a bounded sample of the nodes' sets (those that
     occur at least ORDER_LEAST times). Only the order of shingles comes from it, which decides how
     much work prefix_pairs has, not what it finds."""
 
@@ -223,25 +223,27 @@ def common_shingles(nodes: DataFrame, texts: DataFrame, words: int, sample: int
     drawn = nodes.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(sample)
     rows = texts.join(F.broadcast(drawn.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi").select("text")
     often = rows.mapInArrow(emit, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= ORDER_LEAST)
-    return {r.shingle: r.n for r in often.collect()}  # at most sample sets / ORDER_LEAST
+    known = often.toArrow()  # at most the sample's shingles / ORDER_LEAST rows
+    order = np.argsort(known["shingle"].to_numpy())
+    return known["shingle"].to_numpy()[order], known["n"].to_numpy()[order]
 
 
 def signature_bits(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Two low bits of each signature value of the sets ``hashes[at[i]:at[i + 1]]``, packed into signed 64-bit numbers."""
-    out = np.zeros((len(at) - 1, 2 * 2 * PERMUTATIONS // 64), np.uint64)
+    """Four low bits of each signature value of the sets ``hashes[at[i]:at[i + 1]]``, packed into signed 64-bit numbers."""
+    out = np.zeros((len(at) - 1, 2 * PERMUTATIONS // 16), np.uint64)
     some = np.flatnonzero(np.diff(at))
     if len(some):
-        two = mix64(min_max(hashes.view(np.uint64), np.append(at[some], at[-1]))) & np.uint64(3)
-        for k in range(32):
-            out[some] |= two[:, k :: 32] << np.uint64(2 * k)
+        low = mix64(min_max(hashes.view(np.uint64), np.append(at[some], at[-1]))) & np.uint64(15)
+        for k in range(16):
+            out[some] |= low[:, k::16] << np.uint64(4 * k)
     return out.view(np.int64)
 
 
 def least_equal(percent: int) -> int:
-    """How many two-bit values of similar sets' signatures are equal at least, but for
+    """How many four-bit values of similar sets' signatures are equal at least, but for
     a chance of about one in 10^8 (6.3 standard deviations; for pairs just at the threshold)."""
     n, j = 2 * PERMUTATIONS, percent / 100
-    p = j + (1 - j) / 4
+    p = j + (1 - j) / 16
     return int(n * p - 6.3 * (n * p * (1 - p)) ** 0.5)
 
 
@@ -255,11 +257,9 @@ def prefix_pairs(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFram
     use up that allowance meet nobody, however large their group is. Of the pairs that meet, those
     whose signatures agree in far too few values (``least_equal``) are left out as well."""
     words, percent = like
-    known = common_shingles(nodes, texts, words)
-    hashes = np.array(sorted(known), np.int64)
-    counts = np.array([known[int(h)] for h in hashes], np.int64)
+    hashes, counts = common_shingles(nodes, texts, words)
     id_type = nodes.schema["node"].dataType.simpleString()
-    names = [f"bits{k}" for k in range(2 * 2 * PERMUTATIONS // 64)]
+    names = [f"bits{k}" for k in range(2 * PERMUTATIONS // 16)]
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -293,9 +293,10 @@ def prefix_pairs(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFram
     overlap = F.least(nx - F.col("x.pos"), ny - F.col("y.pos"))
     fits = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent)
     fits = fits & (overlap * (100 + percent) >= (nx + ny) * percent)
-    # two bits of each signature value: equal fields are the zero fields of the exclusive or
+    # four bits of each signature value: unequal values leave a bit in their field of the exclusive or
     differ = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in names]
-    unequal = sum((F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(LOW_BITS))) for d in differ), F.lit(0))
+    pairs = [d.bitwiseOR(F.shiftrightunsigned(d, 1)) for d in differ]
+    unequal = sum((F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(LOW_BITS))) for d in pairs), F.lit(0))
     fits = fits & (unequal <= 2 * PERMUTATIONS - least_equal(percent))
     ends = [f("x.node", "y.node").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
     return x.join(y, fits).select(*ends).distinct()

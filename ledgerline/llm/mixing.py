@@ -38,6 +38,7 @@ def source_targets(sized: DataFrame, max_epochs: int = 3, weights: tuple[int, ..
     weight (given by the sources' order, repeating); a source whose share is
     above ``max_epochs`` times its size stops there and the rest is shared again.
 
+    The windows over all sources run in one task; it has one narrow row for each source.
     One pass instead of rounds: sources are taken by rising size/weight. Those
     below the level that the rest could fill stop at their bound, and the level
     only rises, so they are a prefix of that order."""
