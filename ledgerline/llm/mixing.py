@@ -6,7 +6,8 @@ cut into blocks of equal words. The mix has 2**m slots; slot i carries the
 van der Corput point of i, which the cumulative targets map to a source, and
 the rank of the slot among its source's slots names the block it takes. Since
 2**m such points are evenly spaced, each source gets its share of the slots to
-within one, and any run of slots holds the sources in nearly their weights.
+within one, and any run of slots holds the sources in nearly their weights. A
+source too small for a point gets one short slot of its own after the 2**m.
 
 Scale: sizes and order keys are the only columns that move. Running sums and
 ranks are taken inside buckets (of the shuffled order, and of slots) and shifted
@@ -82,7 +83,8 @@ def tape_offsets(docs: DataFrame, keys: list[str], n_buckets: int) -> DataFrame:
 
 
 def slot_sources(targets: DataFrame, m: int, n_sources: int, all_words: int) -> DataFrame:
-    """(slot, sid, quota): each of the 2**m slots with its point's source.
+    """(slot, sid, quota, n_slots): each of the 2**m slots with its point's source,
+    and one more slot for each source with a quota that no point falls into.
 
     Points are looked up by equal cells of the unit interval, finer than the
     sources, so the lookup is an equi-join."""
@@ -90,14 +92,18 @@ def slot_sources(targets: DataFrame, m: int, n_sources: int, all_words: int) ->
     up_to = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
     t = targets.withColumn("cum", F.sum("quota").over(up_to))
     edge = lambda c: F.ceil(c.cast("double") * n / F.lit(float(all_words)))
-    t = t.select("sid", "quota", edge(F.col("cum") - F.col("quota")).alias("lo"), edge(F.col("cum")).alias("hi")).filter("lo < hi")
+    t = t.select("sid", "quota", edge(F.col("cum") - F.col("quota")).alias("lo"), edge(F.col("cum")).alias("hi")).filter("quota > 0")
+    t = t.withColumn("pointless", F.sum(F.when(F.col("lo") < F.col("hi"), 0).otherwise(1)).over(up_to))
+    more = t.filter("lo >= hi").select((F.col("pointless") + (n - 1)).alias("slot"), "sid", "quota", F.lit(1).cast("long").alias("n_slots"))
+    t = t.filter("lo < hi")
     shift = max(0, m - max(6, (64 * n_sources - 1).bit_length()))
     cells = t.withColumn("cell", F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright(F.col("hi") - 1, shift))))
     spark = targets.sparkSession
     slots = spark.range(n).withColumnRenamed("id", "slot")
     reversed_bits = F.conv(F.reverse(F.lpad(F.bin("slot"), m, "0")), 2, 10).cast("long") if m else F.lit(0).cast("long")
     slots = slots.withColumn("point", reversed_bits).withColumn("cell", F.shiftright("point", shift))
-    return slots.join(cells, "cell").filter("point >= lo and point < hi").select("slot", "sid", "quota", (F.col("hi") - F.col("lo")).alias("n_slots"))
+    slots = slots.join(cells, "cell").filter("point >= lo and point < hi").select("slot", "sid", "quota", (F.col("hi") - F.col("lo")).alias("n_slots"))
+    return slots.unionByName(more)
 
 
 def ranked_slots(slots: DataFrame, m: int) -> DataFrame:

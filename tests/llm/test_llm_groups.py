@@ -228,6 +228,16 @@ def test_slots_spread_and_blocks_are_equal(spark):
             assert gaps.max() <= 3 * n / len(places) + 2  # no source waits long
 
 
+def test_small_sources_take_their_words(spark):
+    rows = [(i, "w " * 1000, "en", f"a{i:02}", None) for i in range(20)] + [(100 + i, "w " * 10, "en", f"b{i:03}", None) for i in range(300)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mixing.taken_words(docs).toPandas()
+    assert len(got) == len(rows) and ((got.target - got.taken).between(0, 1, inclusive="left")).all()
+    assert mixing.mixed_documents(docs).select("source").distinct().count() == 320
+    _, mix = mixing.schedule(docs)
+    assert mix.groupBy("slot").agg({"sid": "min", "words": "sum"}).count() == mix.select("slot", "sid").distinct().count()
+
+
 def test_mixed_documents_hold_the_taken_words(spark):
     rows, docs = mix_table(spark, 3)
     docs = docs.selectExpr("*", "1 as size", "2 as taken")
