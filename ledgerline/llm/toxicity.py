@@ -1,8 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
 Each word enters as a word vector (words of the training vocabulary) and the mean of its
-character n-gram vectors (hashed, so unseen words and spellings carry meaning). A GRU
-reads a window of words in both directions, attention weighs its states, and a linear layer
+character n-gram vectors (hashed, so unseen words and spellings carry meaning). A token of
+more than ``LONGEST`` characters (scripts without spaces, joined words) is read as several
+words, its overlapping parts. A GRU reads a window of words in both directions, attention weighs its states, and a linear layer
 gives the window's logit. All overlapping windows of the whole text are scored (half
 a window apart, the last one at the text's end); the largest logit, with the number of
 windows, gives the document's score by a logistic curve fitted on training documents.
@@ -41,6 +42,7 @@ GRAMS = 1 << 13
 LEAST_DOCS = 4  # training documents that a word must be in to have a vector
 TOXIC_DOCS, CLEAN_DOCS, DOC_WINDOWS = 800, 1200, 16
 PASSES, BATCH_DOCS, RATE = 4, 40, 0.01
+LONGEST, OVERLAP = 64, 16  # characters of a word, and shared by the parts of a longer one
 KNOWN_WORDS = 200_000  # words whose projections a task remembers
 SCORED_TOGETHER = 1024  # windows
 _STRIP = ".,;:!?\"'()[]{}<>«»“”…"
@@ -49,12 +51,21 @@ Model = dict[str, np.ndarray]
 
 
 def words_of(text: str) -> list[str]:
-    return [w.strip(_STRIP) or w for w in text.lower().split()]
+    words = [w.strip(_STRIP) or w for w in text.lower().split()]
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [part for w in words for part in word_parts(w)]
+
+
+def word_parts(word: str) -> list[str]:
+    """Overlapping parts of a long word; the last part ends with the word."""
+    starts = [*range(0, len(word) - LONGEST, LONGEST - OVERLAP), max(0, len(word) - LONGEST)]
+    return [word[s : s + LONGEST] for s in starts]
 
 
 def grams_of(word: str) -> list[int]:
     """Hashed character 3- and 4-grams, with the word's ends marked."""
-    marked = f"^{word[:64]}$"
+    marked = f"^{word}$"
     return [zlib.crc32(marked[i : i + n].encode()) % GRAMS for n in (3, 4) for i in range(max(1, len(marked) - n + 1))]
 
 

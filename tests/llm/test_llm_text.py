@@ -239,6 +239,23 @@ def test_windows_cover_every_word():
     assert toxicity.window_starts(0) == []
 
 
+def test_every_character_of_a_long_token_is_read():
+    model = toxicity.new_model(np.random.default_rng(1), 0)
+    best, count = toxicity.Scorer(model, {}).texts(["lorem" * 40, "lorem" * 39 + "scoundrel"])
+    assert best[0] != best[1] and (count == 1).all()
+    rng = random.Random(9)
+    assert toxicity.words_of("Short, words") == ["short", "words"] and toxicity.words_of("x" * 64) == ["x" * 64]
+    for n in (65, 112, 113, 500, 2000):
+        word = "".join(rng.choice("abcdef") for _ in range(n))
+        parts = toxicity.words_of(f"one {word}, two")[1:-1]
+        at, end = 0, 0
+        for part in parts:
+            at = word.index(part, at)
+            assert at <= max(0, end - toxicity.OVERLAP) and len(part) == toxicity.LONGEST
+            end = at + len(part)
+        assert end == n
+
+
 def test_learns_planted_words_anywhere_in_a_text(spark):
     rng = random.Random(2)
     plain = ["lorem", "ipsum", "dolor", "sit", "amet", "tempor", "magna", "aliqua"]
