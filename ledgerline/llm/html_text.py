@@ -79,26 +79,33 @@ def host_of(url: str | None) -> str:
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
 
 
-def says_other(tag: str, attributes: str, in_article: bool) -> bool:
+NO, WRAPPER, YES = 0, 1, 2  # WRAPPER: only a class, id or role says so, and one that wrappers of the whole page have too
+
+
+def says_other(tag: str, attributes: str, in_article: bool) -> int:
     if tag in OTHER_TAGS or (tag == "header" and not in_article):
-        return True
+        return YES
     if not attributes or attributes.isspace() or tag in ("html", "body", "main"):
-        return False
+        return NO
     allowed = ARTICLE_WORDS if tag == "article" else OTHER_WORDS
+    said = NO
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return YES
         if name == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
+                return YES
         elif name != "aria-hidden":
-            # has-sidebar, no-comments: said of a page, not of the element
-            names = [_WORDS.split(v) for v in value.split()]
-            words = [w for parts in names if parts[0] not in NEGATIONS for w in parts]
+            words = {w for v in value.split() for w in before_negation(_WORDS.split(v))}
             if not allowed.isdisjoint(words) or (not in_article and tag != "article" and "header" in words):
-                return True
-    return False
+                said = max(said, WRAPPER if name != "role" and ARTICLE_WORDS.isdisjoint(words) else YES)
+    return said
+
+
+def before_negation(parts: list[str]) -> list[str]:
+    """has-sidebar, content-with-sidebar, no-comments: said of a page, not of the element."""
+    return parts[: next((i for i, w in enumerate(parts) if w in NEGATIONS), len(parts))]
 
 
 class Page:
@@ -106,7 +113,7 @@ class Page:
     text), whether it says it isn't article text; and pieces (element, block, text)."""
 
     def __init__(self, source: str):
-        self.parent, self.hash, self.other, self.tag = [-1], [0], [False], [""]
+        self.parent, self.hash, self.other, self.tag = [-1], [0], [NO], [""]
         self.pieces: list[tuple[int, int, str]] = []
         self.longest = (0, 0)  # length and hash of the block with most text of its own
         self._stack, self._parts, self._block, self._articles = [0], [[]], 0, 0
@@ -131,6 +138,31 @@ class Page:
             self._text(source[at:])
         while len(self._stack) > 1:
             self._pop()
+        if WRAPPER in self.other:
+            self._keep_wrappers()
+
+    def _keep_wrappers(self) -> None:
+        """Unmarks what only its name marks, where it holds the page's articles (if none is
+        outside of marked elements) or most of the page's text besides links."""
+        sure, marked, link = [False], [False], [False]
+        for n in range(1, len(self.parent)):
+            up = self.parent[n]
+            sure.append(sure[up] or self.other[n] == YES)
+            marked.append(marked[up] or self.other[n] != NO)
+            link.append(link[up] or self.tag[n] == "a")
+        held = [0] * len(self.parent)
+        for n, _, text in self.pieces:
+            if not sure[n] and not link[n]:
+                held[n] += len("".join(text.split()))
+        articles = [n for n in range(1, len(self.parent)) if self.tag[n] == "article" and not sure[n]]
+        around = set() if any(not marked[n] for n in articles) else {n for n in articles if self.other[n] == NO}
+        for n in range(len(self.parent) - 1, 0, -1):
+            held[self.parent[n]] += held[n]
+            if n in around:
+                around.add(self.parent[n])
+        for n, other in enumerate(self.other):
+            if other == WRAPPER and (n in around or 2 * held[n] > held[0]):
+                self.other[n] = NO
 
     def _text(self, text: str) -> None:
         if "&" in text:
@@ -155,7 +187,7 @@ class Page:
         self.other.append(says_other(tag, attributes, self._articles > 0))
         if tag == "main":  # what holds the main part is none of the others
             for n in self._stack:
-                self.other[n] = self.other[n] and self.tag[n] in OTHER_TAGS
+                self.other[n] = self.other[n] if self.tag[n] in OTHER_TAGS else NO
         self._articles += tag in ("article", "main")
         self._block += tag in BLOCK
         self._stack.append(len(self.parent) - 1)

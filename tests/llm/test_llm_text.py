@@ -61,6 +61,16 @@ def test_page_text_without_other_parts():
     assert html_text.Page("<div class='menu-layout'><main>a</main></div>").text() == "a"
 
 
+def test_named_wrappers_keep_the_article():
+    text = lambda source: html_text.Page(source).text()
+    for name in ("class='content-with-sidebar'", "class='layout-right-sidebar'", "id='page' class='navbar-fixed'"):
+        assert text(f"<div {name}><div class=menu><a>m</a></div><article><p>the text</p></article><div class=sidebar>s</div></div>") == "the text"
+        assert text(f"<div {name}><p>the text of a page without article</p></div><footer>f</footer>") == "the text of a page without article"
+    assert text("<article>the text</article><div class=sidebar><article>teaser</article></div>") == "the text"
+    assert text("<p>the text</p><div class=menu><a href=/>a longer list</a><a href=/>of many links</a></div>") == "the text"
+    assert text("<p>the text</p><section id=comments><article>a reply longer than the text</article></section>") == "the text"
+
+
 def test_recurring_subtrees_go_and_copies_stay(spark):
     body = lambda i: f"<html><body><div>Welcome to our pages</div><p>Text of page {i}, long enough to be its article</p><div>Written by us</div></body></html>"
     rows = [(i, f"http://A.example/{i}", body(i)) for i in range(8)]
