@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import anchors, cover_tree, fingerprints, html_text, hyperlang, link_trust, minmax_dedup, mixing, packing, toxicity
+from ledgerline.llm import anchors, bpe_tree, cover_tree, fingerprints, html_text, hyperlang, link_trust, minmax_dedup, mixing, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_template_text": html_text.query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_low_discrepancy_mix": mixing.query,
     "op9_certified_packing": packing.query,
     "op10_link_trust": link_trust.query,
+    "op11_tree_bpe": bpe_tree.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
