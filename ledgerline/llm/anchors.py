@@ -15,14 +15,16 @@ the cues add ``account`` (an IBAN with valid check digits after its cue),
 ``secret`` (the value after a password cue, and access key ids) and ``url`` (an address with
 a user name in it, or a mailto: / tel: address). Added spans never change base spans.
 
-Each text is read on its own, so there is no shuffle and no skew; a null text
-is empty and has no spans; repeated rows give repeated rows.
+Each text is read on its own, so there is no shuffle and no skew; time and memory are linear in a text's length,
+however often one cue repeats. A null text is empty and has no spans; repeated rows give repeated rows; an empty table
+gives none; other columns than the id and the text are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -103,7 +105,8 @@ def ip_at(text: str, start: int) -> tuple[int, bool, int]:
 
 
 def ip_valid(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    parts = [p.lstrip("0") for p in text.split(".")]
+    return all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
 
 
 def card_end(text: str, i: int) -> int:
@@ -162,26 +165,39 @@ def iban_span(text: str, after: int) -> tuple[int, int] | None:
     return None
 
 
-def url_span(text: str, start: int, after: int) -> tuple[int, int] | None:
-    end = after
-    while end < len(text) and text[end] not in _URL_END:
-        end += 1
-    while end > after and text[end - 1] in ".,;:!?)":
-        end -= 1
-    scheme = text[start:after]
-    if scheme == "mailto:":
-        at = text.find("@", after, end)
-        return (start, end) if at > after else None
-    if scheme == "tel:":
-        return (start, end) if 7 <= sum(c in _DIGIT for c in text[after:end]) <= 15 else None
-    authority = re.split("[/?#]", text[after:end], maxsplit=1)[0]
-    return (start, end) if authority.find("@") > 0 else None
+class UrlRun:
+    """A stretch of a text without a character that ends an address. It is looked at once, however many
+    schemes it holds: at-signs, ends of authorities and digits are searched by position."""
+
+    def __init__(self, text: str, start: int):
+        self.start = self.end = start
+        while self.end < len(text) and text[self.end] not in _URL_END:
+            self.end += 1
+        self.trimmed = self.end
+        while self.trimmed > start and text[self.trimmed - 1] in ".,;:!?)":
+            self.trimmed -= 1
+        self.ats, self.stops, self.digits = ([i for i in range(start, self.end) if text[i] in some] for some in ("@", "/?#", _DIGIT))
+
+    def span(self, scheme: str, after: int) -> tuple[int, int] | None:
+        """The address whose scheme ends before ``after``."""
+        end = max(after, self.trimmed)
+        at = bisect_left(self.ats, after)
+        first_at = self.ats[at] if at < len(self.ats) else end
+        if scheme == "mailto:":
+            found = after < first_at < end
+        elif scheme == "tel:":
+            found = 7 <= bisect_left(self.digits, end) - bisect_left(self.digits, after) <= 15
+        else:
+            stop = bisect_left(self.stops, after)
+            found = after < first_at < min(end, self.stops[stop] if stop < len(self.stops) else end)
+        return (after - len(scheme), end) if found else None
 
 
 def spans_of(text: str, found: ahocorasick.Automaton) -> list[Span]:
     """All spans of a text, base kinds first, each kind by start (code points, end exclusive)."""
     out: dict[str, list[Span]] = {k: [] for k in (*BASE_KINDS, *ADDED_KINDS)}
     after = dict.fromkeys(out, 0)  # where each kind's next match may start
+    run: UrlRun | None = None
     for last, (anchor, length) in found.iter(text):
         i = last - length + 1
         if anchor == "digit":
@@ -207,20 +223,24 @@ def spans_of(text: str, found: ahocorasick.Automaton) -> list[Span]:
                 if 9 <= sum(c in _DIGIT for c in text[i:end]) <= 15:
                     out["phone"].append(("phone", i, end))
         elif anchor == "scheme":
-            if i >= after["url"] and (hit := url_span(text, i, last + 1)):
-                after["url"] = hit[1]
-                out["url"].append(("url", *hit))
+            if i >= after["url"]:
+                if run is None or not run.start <= last + 1 <= run.end:
+                    run = UrlRun(text, last + 1)
+                if hit := run.span(text[i : last + 1], last + 1):
+                    after["url"] = hit[1]
+                    out["url"].append(("url", *hit))
         elif anchor == "iban":
             if i >= after["account"] and (hit := iban_span(text, last + 1)):
                 after["account"] = hit[1]
                 out["account"].append(("account", *hit))
         elif anchor == "value":
-            end = last + 1
-            while end < len(text) and text[end] not in _VALUE_END:
-                end += 1
-            if i >= after["secret"] and end > last + 1:
-                after["secret"] = end
-                out["secret"].append(("secret", last + 1, end))
+            if i >= after["secret"]:
+                end = last + 1
+                while end < len(text) and text[end] not in _VALUE_END:
+                    end += 1
+                if end > last + 1:
+                    after["secret"] = end
+                    out["secret"].append(("secret", last + 1, end))
         elif i >= after["secret"] and (i == 0 or text[i - 1] not in _KEY_ID):  # an access key id
             end = run_end(text, i, _KEY_ID)
             if end - i == 20 and text[i:end].isupper():
