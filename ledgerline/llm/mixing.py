@@ -204,16 +204,11 @@ WITH sized AS (
   SELECT source, sid, source_size,
          CASE WHEN is_full THEN (3 * source_size)::DOUBLE ELSE w::DOUBLE * rest::DOUBLE / open_w::DOUBLE END AS target,
          least(floor(CASE WHEN is_full THEN (3 * source_size)::DOUBLE ELSE w::DOUBLE * rest::DOUBLE / open_w::DOUBLE END)::BIGINT, 3 * source_size) AS quota FROM g
-), q AS (
-  SELECT *, sum(quota) OVER (ORDER BY sid)::DOUBLE AS cum, greatest(1, sum(quota) OVER ())::DOUBLE AS all_words,
-         pow(2, greatest(0, ceil(log2(greatest(1, ceil(sum(quota) OVER () / 256.0)))))) AS n FROM t
-), n AS (
-  SELECT *, ceil(cum * n / all_words) > ceil((cum - quota) * n / all_words) AS has_slots FROM q
 ), d AS (
-  SELECT d.doc_id, d.size, n.source_size, n.target, CASE WHEN has_slots THEN n.quota ELSE 0 END AS quota,
+  SELECT d.doc_id, d.size, n.source_size, n.target, n.quota,
          sum(d.size) OVER (PARTITION BY n.sid ORDER BY md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), d.doc_id, d.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS pos
-  FROM sized d JOIN n ON d.source IS NOT DISTINCT FROM n.source
+  FROM sized d JOIN t n ON d.source IS NOT DISTINCT FROM n.source
 )
 SELECT doc_id, size, source_size, target,
        (CASE WHEN source_size = 0 THEN 0

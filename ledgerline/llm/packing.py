@@ -1,109 +1,42 @@
 """Best-fit packing with certified bin counts.
 
-Texts become token ids (byte-level BPE from a tokenizer file, then an end id).
+Texts become token ids (byte-level BPE from a tokenizer file, as bpe_tree encodes it, then an end id).
 A document longer than a sequence is cut into whole-sequence pieces, the first
 piece being the shorter one; whole pieces are sequences of their own. The rest is
 packed by best-fit decreasing inside partitions of a bounded number of pieces.
 Each partition has a lower bound on its bins from dual-feasible functions. A
 partition whose bin count equals its bound is certified and done; the others
 (those with gaps) exchange their pieces: they are dealt anew into other
-partitions and packed again, and a round is kept only while it lowers their sum of bins.
+partitions and packed again; a deal is kept if it lowers their sum of bins, and the exchange ends when all are certified or
+two deals in a row close no gap.
 
 Scale: only ids' checksums and lengths leave the tokenizing tasks; texts are never
 shuffled. Partitions hold ``part_pieces`` pieces each on average, whatever the
 table's size. The number of partitions with gaps falls from round to round.
 
-Defined results: a null or empty text is one piece, the end id; repeated rows are
-packed as separate documents; an empty table has no sequences. Sequence ids are
+Defined results: a null or empty text is one piece, the end id; strings of special tokens are their id; repeated rows (also with equal or null ids) are
+packed as separate documents; a text of any length is cut into as many pieces as it needs, in time linear in it; an empty table has no sequences; columns other than doc_id and text are not read. Sequence ids are
 unique numbers without further meaning.
 """
 
 from __future__ import annotations
 
-import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.bpe_tree import codec, tokenizer_path
 from ledgerline.llm.common import materialize, table
 
 CAPACITY = 2048
 END_ID = 0
 PART_PIECES = 20_000
-ROUNDS = 3
-CACHE_UNITS = 400_000  # distinct words whose ids a task remembers; the rest is tokenized again
-
-
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def _byte_chars() -> dict[str, int]:
-    """The printable character that a byte-level BPE file writes for each byte:
-    printable Latin-1 stands for itself, the others follow from U+0100 on."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
-
-
-@lru_cache(maxsize=2)
-def encoding(path: str):
-    """The byte-level BPE of a tokenizers file, as a tiktoken encoding (the same
-    ids in a quarter of the time; merges are in the order of the ids)."""
-    import public_tokenizers
-    import tiktoken
-
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", [])}
-    byte_of = _byte_chars()
-    ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
-def units_of(text: str) -> list[str]:
-    """The text cut before each space that a non-space follows. No token crosses
-    such a place, so units can be tokenized, and remembered, one by one."""
-    head, *parts = text.split(" ")
-    units = [head]
-    for p in parts:
-        if p and not p[0].isspace():
-            units.append(" " + p)
-        else:
-            units[-1] += " " + p
-    return units
-
-
-class Tokens:
-    """Texts to little-endian 32-bit token ids."""
-
-    def __init__(self, path: str):
-        self.encode = encoding(path).encode_ordinary
-        self.known: dict[str, bytes] = {}
-
-    def __missing(self, units: list[str]) -> None:
-        if len(self.known) > CACHE_UNITS:
-            self.known.clear()
-        encode, known = self.encode, self.known
-        for u in set(units):
-            if u not in known:
-                known[u] = np.array(encode(u), "<u4").tobytes()
-
-    def ids(self, text: str) -> bytes:
-        units = units_of(text)
-        try:
-            return b"".join(map(self.known.__getitem__, units))
-        except KeyError:
-            self.__missing(units)
-            return b"".join(map(self.known.__getitem__, units))
+FAILED_DEALS = 2  # deals in a row that close no gap before the exchange ends
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -111,11 +44,11 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     tail = np.array([end_id], "<u4").tobytes()
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(path)
+        tokens = codec(path)
         for b in batches:
             of, piece, start, length, crc = [], [], [], [], []
             for row, text in enumerate(b.column(1)):
-                ids = tokens.ids(text.as_py() or "") + tail
+                ids = tokens.encode(text.as_py() or "") + tail
                 n = len(ids) // 4
                 first = n % capacity or capacity
                 for k, at in enumerate([0, *range(first, n, capacity)]):
@@ -138,9 +71,13 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     """Bins that any packing needs, by dual-feasible functions: the sizes
     themselves, f_t (sizes over capacity - t count whole, sizes under t count
     nothing) for every t, and u_k (sizes rounded to k-ths) for small k."""
-    if not len(lengths):
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def bound_of_counts(counts: np.ndarray, capacity: int = CAPACITY) -> int:
+    """The same bound from the number of pieces of each length (0 to ``capacity``)."""
+    if not counts.any():
         return 0
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     sizes = np.arange(capacity + 1, dtype=np.int64)
     total, number = np.cumsum(counts * sizes), np.cumsum(counts)
     best = -(-int(total[-1]) // capacity)
@@ -205,42 +142,53 @@ def pack_partitions(rest: DataFrame, parts: int, round_no: int, capacity: int) -
     return dealt.groupBy("part").applyInArrow(pack, f"{fields}, bin long, offset long, n_bins long, bound long")
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, rounds: int = ROUNDS, end_id: int = END_ID) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, failed_deals: int = FAILED_DEALS, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     cut = materialize(pieces(docs, path or tokenizer_path(), capacity, end_id), "pack-pieces")
     out_cols = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     whole = cut.filter(F.col("length") == capacity)
-    # sequence ids: 2k for whole pieces, 4k + 1 for packed bins of round 0, 1, ..., each range its own
+    # sequence ids: 2k for whole pieces, odd numbers for packed bins, each deal with a range of its own
     done = [whole.withColumns({"sequence_id": F.monotonically_increasing_id() * 2, "offset": F.lit(0).cast("long")}).select(*out_cols)]
     rest = cut.filter(F.col("length") < capacity)
     n = rest.count()
     if not n:
         return done[0]
     parts = -(-n // part_pieces)
+    taken = 0  # numbers of partitions of earlier deals
+
+    def finish(packed: DataFrame) -> None:
+        number = ((F.col("part") + taken) * (1 << 24) + F.col("bin")) * 2 + 1
+        done.append(packed.withColumn("sequence_id", number.cast("long")).select(*out_cols))
+
     packed = materialize(pack_partitions(rest, parts, 0, capacity), "pack-round0")
-    finished: list[DataFrame] = []
-    for r in range(1, rounds + 1):
-        tally = packed.select("part", "n_bins", "bound").distinct().agg(
-            F.coalesce(F.sum(F.when(F.expr("n_bins > bound"), 1)), F.lit(0)), F.sum(F.when(F.expr("n_bins > bound"), F.col("n_bins")))
-        ).first()
+    deal = failed = 0
+    while failed < failed_deals:
+        tally = packed.select("part", "n_bins", "bound").distinct().filter("n_bins > bound").agg(F.count("*"), F.sum("n_bins")).first()
         gaps, bins = tally[0], tally[1]
         if gaps < 2:  # certified, or no other partition to exchange with
             break
-        open_pieces = packed.filter("n_bins > bound")
-        again = materialize(pack_partitions(open_pieces, gaps, r, capacity), f"pack-round{r}")
+        deal += 1
+        again = materialize(pack_partitions(packed.filter("n_bins > bound"), gaps, deal, capacity), f"pack-round{deal}")
         if again.select("part", "n_bins").distinct().agg(F.sum("n_bins")).first()[0] >= bins:
-            break  # the exchange closes no gap: the earlier packing stays
-        finished.append(packed.filter("n_bins <= bound").withColumn("round", F.lit(r - 1)))
-        packed = again
-    finished.append(packed.withColumn("round", F.lit(rounds + 1)))
-    for f in finished:
-        number = ((F.col("part") * (rounds + 2) + F.col("round")) * (1 << 24) + F.col("bin")) * 2 + 1
-        done.append(f.withColumn("sequence_id", number.cast("long")).select(*out_cols))
+            failed += 1  # closes no gap: the earlier packing stays, and is dealt anew
+            continue
+        finish(packed.filter("n_bins <= bound"))
+        taken, parts, failed, packed = taken + parts, gaps, 0, again
+    finish(packed)
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out
 
 
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
+    """(sequences used, sequences that any packing of these pieces needs), over the whole table.
+    As many numbers as there are lengths reach the driver."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for r in packed.groupBy("length").count().collect():
+        counts[r["length"]] = r["count"]
+    return packed.select("sequence_id").distinct().count(), bound_of_counts(counts, capacity)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))

@@ -23,7 +23,7 @@ def rows_of(frame, cols):
 def test_query_equals_its_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.sql(f"CREATE VIEW {t} AS FROM '{SF}/{t}.parquet'")
     expected = con.sql(queries.ORACLE_SQL[name]).df()
     assert set(got.columns) == set(expected.columns) and len(got) > 0
@@ -234,6 +234,9 @@ def test_small_sources_take_their_words(spark):
     got = mixing.taken_words(docs).toPandas()
     assert len(got) == len(rows) and ((got.target - got.taken).between(0, 1, inclusive="left")).all()
     assert mixing.mixed_documents(docs).select("source").distinct().count() == 320
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert rows_of(got, ["doc_id", "size", "source_size", "target", "taken"]) == rows_of(con.sql(mixing.ORACLE).df(), ["doc_id", "size", "source_size", "target", "taken"])
     _, mix = mixing.schedule(docs)
     assert mix.groupBy("slot").agg({"sid": "min", "words": "sum"}).count() == mix.select("slot", "sid").distinct().count()
 
@@ -256,13 +259,12 @@ def test_mixed_documents_hold_the_taken_words(spark):
 def test_ids_equal_the_tokenizers():
     from tokenizers import Tokenizer
 
-    theirs, ours = Tokenizer.from_file(packing.tokenizer_path()), packing.Tokens(packing.tokenizer_path())
-    theirs.encode_special_tokens = True
+    theirs, ours = Tokenizer.from_file(packing.tokenizer_path()), packing.codec(packing.tokenizer_path())
     rng = random.Random(6)
-    texts = ["", " ", "  a  b ", "a \n b\n\n c", "\u00a0x \u2003y", "it's we'll  don't", "1 22  333", "<|endoftext|> x", "a\x1c b \x85c", "你好 世界 🙂 "]
+    texts = ["", " ", "  a  b ", "a \n b\n\n c", "\u00a0x \u2003y", "it's we'll  don't", "1 22  333", "<|endoftext|> x", "a<|endoftext|><|endoftext|>", "<|endof text|>", "a\x1c b \x85c", "你好 世界 🙂 "]
     texts += ["".join(rng.choice("aB1 .,'\n\t é\u00a0ß你 ") for _ in range(rng.randint(0, 60))) for _ in range(2000)]
     for t in texts:
-        assert np.frombuffer(ours.ids(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids, repr(t)
+        assert np.frombuffer(ours.encode(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_bounds_hold_and_best_fit_packs():
@@ -296,10 +298,10 @@ def test_bounds_hold_and_best_fit_packs():
 
 
 def check_packing(got, texts, capacity):
-    tokens = packing.Tokens(packing.tokenizer_path())
+    tokens = packing.codec(packing.tokenizer_path())
     expected = []
     for d, t in texts:
-        ids = tokens.ids(t or "") + b"\0\0\0\0"
+        ids = tokens.encode(t or "") + b"\0\0\0\0"
         n = len(ids) // 4
         at, piece = 0, 0
         while at < n:
@@ -317,8 +319,10 @@ def test_packed_documents(spark):
     got = packing.query(spark, SF).toPandas()
     check_packing(got, texts, 2048)
     assert got.sequence_id.nunique() <= packing.lower_bound(got.length.to_numpy()) * 1.01 + 1
-    small = packing.pack_documents(docs, capacity=64, part_pieces=20).toPandas()  # many partitions, exchanges
+    exchanged = packing.pack_documents(docs, capacity=64, part_pieces=20)  # many partitions, exchanges
+    small = exchanged.toPandas()
     check_packing(small, texts, 64)
+    assert packing.certificate(exchanged, 64) == (small.sequence_id.nunique(), packing.lower_bound(small.length.to_numpy(), 64))
     assert small.sequence_id.nunique() <= packing.lower_bound(small.length.to_numpy(), 64) * 1.05 + 3
     odd = [(1, None), (1, None), (2, ""), (None, "a b"), (3, "word " * 5000)]
     df = spark.createDataFrame(odd, "doc_id long, text string")
