@@ -72,7 +72,7 @@ def test_dialect_and_bytes(spark, tmp_path):
     assert sorted(by_file["quoted.csv"]) == [(i + 1, t, False) for i, t in enumerate(texts)]
     assert sorted(by_file["doubled.csv"]) == [(1, '5" pipe, "big" one', False), (2, "ends with \\", False)]
     assert by_file["bom.csv"] == [(1, "bom", False)] and "latin.csv" not in by_file
-    assert {r.path.rsplit("/", 1)[-1]: r.not_utf8 for r in files.collect()}["latin.csv"]
+    assert {r.path.rsplit("/", 1)[-1]: r.unreadable for r in files.collect()}["latin.csv"]
     _, got = run(spark, tmp_path, ["latin.csv", "nothing.csv", "bom.csv"])
     assert got == [("Error", fixed.MSG_NOT_AT_SOURCE)] * 2 + [("Success", "")]
 
