@@ -125,6 +125,14 @@ BILL_TO_SENTINEL = "1900-01-01"
 # Date formats tried in order when text becomes a date or timestamp.
 DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy", "M/d/yyyy H:mm"]
 
+# Layouts that a document's date column may have when its layout is inferred. The order decides between layouts that fit
+# all of a column: month first before day first.
+INFERRED_FORMATS = [
+    "yyyy-M-d", "yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "yyyy-M-d'T'H:mm:ss", "yyyy/M/d", "yyyyMMdd",
+    "M/d/yyyy", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "d/M/yyyy", "d/M/yyyy H:mm:ss", "d/M/yyyy H:mm",
+    "M-d-yyyy", "d-M-yyyy", "M.d.yyyy", "d.M.yyyy", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMM d yyyy",
+]
+
 # Run stamp layout in the sheet preamble.
 STAMP_FORMAT = "dd-MMM-yyyy HH:mm:ss"
 

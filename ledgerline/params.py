@@ -17,6 +17,15 @@ class JobParams:
     tenant_bridge_id: str = ""
     tenant_bridge_run_id: str = ""
     date_formats: tuple[str, ...] = tuple(fixed.DATE_FORMATS)
+    # How date text is read: "formats" (each value by the first of ``date_formats`` that fits) or
+    # "infer" (each document's column by the layout of ``inferred_formats`` that fits all of it).
+    date_mode: str = "formats"
+    inferred_formats: tuple[str, ...] = tuple(fixed.INFERRED_FORMATS)
+    # Keep every row's errors (Normalized.rejects), not only a document's first.
+    keep_rejects: bool = False
+    # A run goes through its files in groups of about so many files and bytes (a larger file is a group's own).
+    group_files: int = 20_000
+    group_bytes: int = 2 << 40
     # W1 ordering of "Bill To Date": "parsed" (as a timestamp) or "raw" (as text).
     latest_order: str = "parsed"
     # Literal written for a missing Location B part.

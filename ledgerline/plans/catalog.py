@@ -9,6 +9,7 @@ an order).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,13 @@ from ..functions.text import output_name
 from ..operators import aggregates, contract, dedupe, filters, ordering, sheet, status
 from ..params import JobParams
 from ..session import plan_settings, scratch_path
-from ..sources import fixture
+from ..sources import fixture, runlog
 from ..sources.bills import decoded_path, read_bills
 from ..sources.fixture import MANIFEST_SQL, OUTPUTS_SQL, billing_lines, with_billing_lines
 from ..sources.manifest import read_manifest
 from . import oracle as O
 from .normalize import normalize_bills
-from .run import existing_outputs, run_manifest
+from .run import adopt_outputs, existing_outputs, run_manifest
 
 PARAMS = JobParams(client_name="Client", upload_user="loader", default_owner_email="")
 Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -197,6 +198,20 @@ def q_p2(spark, sf):
                     (F.col("invoice_date").isNotNull() & F.col("_ts").isNull()).alias("invoice_date_bad"))
 
 
+@register("p2_infer_dates", with_billing_lines(f""",
+dated AS ({fixture.DATED_LINES_SQL}), {O.inferred_dates_sql("dated")}
+SELECT row_id, document_id, layout, strftime(ts, '%Y-%m-%d') AS invoice_date_norm,
+  (invoice_date IS NOT NULL AND ts IS NULL) AS invoice_date_bad FROM dated_rows"""))
+def q_p2_infer(spark, sf):
+    """Documents whose dates have a layout each: the layout is found from the whole column."""
+    lines = fixture.dated_lines(spark, sf)
+    found = dates.inferred_layouts(lines, "document_id", "row_id", ["invoice_date"])
+    names = F.array(*[F.lit(f) for f in fixed.INFERRED_FORMATS])
+    d = lines.join(found, "document_id", "left").withColumn("_ts", dates.parse_by_layout(F.col("invoice_date"), F.col("invoice_date_layout")))
+    return d.select("row_id", "document_id", F.get(names, F.col("invoice_date_layout")).alias("layout"), F.date_format("_ts", "yyyy-MM-dd").alias("invoice_date_norm"),
+                    (F.col("invoice_date").isNotNull() & F.col("_ts").isNull()).alias("invoice_date_bad"))
+
+
 @register("p3_key", with_billing_lines("""
 SELECT row_id, COALESCE(billing_account_number, '') || COALESCE(service_id, '') || COALESCE(charge_description, '')
   AS business_key FROM billing_lines"""))
@@ -420,10 +435,32 @@ def q_j1(spark, sf):
                                 _t(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
 
 
-@register("j2_not_done", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0)")
+@register("j2_not_done", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def q_j2(spark, sf):
     return status.not_done(_t(spark, sf, "customer").select("c_custkey", "c_name"),
-                           _t(spark, sf, "orders").filter("o_orderkey % 7 = 0"), "c_custkey", "o_custkey")
+                           _t(spark, sf, "orders").filter("o_orderstatus = 'P'"), "c_custkey", "o_custkey")
+
+
+@register("j2_run_log", """
+WITH e AS (SELECT o_custkey, epoch_us(o_orderdate) + o_orderkey AS moment, o_orderstatus,
+    CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END AS later FROM orders),
+  n AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY moment DESC, later DESC) = 1)
+SELECT c_custkey, coalesce(CASE n.o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'failed' ELSE 'started' END, 'none') AS state
+FROM customer LEFT JOIN n ON c_custkey = o_custkey WHERE n.o_orderstatus IS NULL OR n.o_orderstatus <> 'F'""")
+def q_j2_log(spark, sf):
+    """Orders as the log entries of earlier runs (finished: done, open: failed, else started), appended in three runs, compacted in
+    between; customers whose newest entry isn't done, with its state."""
+    root = scratch_path(spark, "run-log")
+    orders = _t(spark, sf, "orders").withColumns({
+        "output": F.col("o_custkey").cast("string"), "at": F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")})
+    for k, (kind, state) in enumerate({"F": runlog.DONE, "O": runlog.FAILED, "P": runlog.STARTED}.items()):
+        runlog.append(orders.filter(F.col("o_orderstatus") == kind), root, state, run_id=str(k), at=F.col("at"))
+        if k == 1:
+            runlog.compact(spark, root)
+    customers = _t(spark, sf, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("output"))
+    todo = status.not_done(customers, runlog.done_outputs(spark, root).withColumnRenamed("output", "done"), "output", "done")
+    newest = runlog.latest(spark, root).select("output", "state")
+    return todo.join(newest, "output", "left").select("c_custkey", F.coalesce("state", F.lit("none")).alias("state"))
 
 
 @register("j3_prefix_match", """
@@ -489,9 +526,37 @@ def q_w1e(spark, sf):
     return latest.select("user_id", "event_id", _ts_text(F.col("ts")).alias("ts"), "event_type")
 
 
-@register("o4_nulls_first", None)
+@register("o4_nulls_first", with_billing_lines(
+    "SELECT row_id, service_id, row_number() OVER (ORDER BY service_id NULLS FIRST, row_id) AS position FROM billing_lines"))
 def q_o4(spark, sf):
-    return ordering.sort_nulls_first(billing_lines(spark, sf).select("row_id", "service_id"), "service_id")
+    return ordering.numbered_nulls_first(billing_lines(spark, sf).select("row_id", "service_id"), "service_id", "row_id")
+
+
+# ----------------------------------------------------------------------------------------
+# Row errors: the rejects of the composed job, and their summary for the status
+# ----------------------------------------------------------------------------------------
+
+_ERRORS_SQL = with_billing_lines(f""", {O.stages_sql()},
+errors AS (SELECT document_id, row_id, unnest([
+    CASE WHEN perr IS NOT NULL THEN perr END, CASE WHEN inv_bad THEN {O.q(fixed.ERR_INVOICE_DATE)} END,
+    CASE WHEN {O.money_bad_sql('charge_amount')} THEN {O.q(fixed.ERR_CHARGE_AMOUNT)} END,
+    CASE WHEN {O.money_bad_sql('discount_amount')} THEN {O.q(fixed.ERR_DISCOUNT_AMOUNT)} END]) AS code, unnest([1, 2, 3, 4]) AS stage FROM parsed)
+""")
+
+
+def _rejects(spark, sf):
+    return normalize_bills(billing_lines(spark, sf), replace(PARAMS, keep_rejects=True), row_ord="row_id").rejects
+
+
+@register("rejects", _ERRORS_SQL + "SELECT document_id, row_id AS row_ord, string_agg(code, ',' ORDER BY stage) AS errors FROM errors "
+          "WHERE code IS NOT NULL GROUP BY document_id, row_id")
+def q_rejects(spark, sf):
+    return _rejects(spark, sf).withColumn("errors", F.array_join("errors", ","))
+
+
+@register("a6_row_errors", _ERRORS_SQL + 'SELECT document_id, code, count(*) AS "rows", min(row_id) AS first_row FROM errors WHERE code IS NOT NULL GROUP BY document_id, code')
+def q_row_errors(spark, sf):
+    return status.row_error_summary(_rejects(spark, sf)).select("document_id", F.inline("row_errors"))
 
 
 # ----------------------------------------------------------------------------------------
@@ -618,12 +683,12 @@ def q_s2(spark, sf):
     return read_manifest(spark, path, multi_line=False)
 
 
-@register("s3_outputs", "SELECT n_nationkey || ' of region ' || n_regionkey || ' (50%)' AS output FROM nation")
+@register("s3_outputs", "SELECT c_custkey || ' of nation ' || c_nationkey || ' (50%)' AS output FROM customer")
 def q_s3(spark, sf):
     """Outputs written as the sheet sink writes them, one folder for each name, listed again."""
     path = scratch_path(spark, "outputs")
-    name = F.concat(F.col("n_nationkey").cast("string"), F.lit(" of region "), F.col("n_regionkey").cast("string"), F.lit(" (50%)"))
-    _t(spark, sf, "nation").select(name.alias("output"), "n_name").write.partitionBy("output").csv(path)
+    name = F.concat(F.col("c_custkey").cast("string"), F.lit(" of nation "), F.col("c_nationkey").cast("string"), F.lit(" (50%)"))
+    _t(spark, sf, "customer").select(name.alias("output"), "c_name").write.partitionBy("output").csv(path)
     return existing_outputs(spark, path)
 
 
@@ -662,6 +727,7 @@ def write_run_files(spark: SparkSession, sf: str) -> tuple[str, str]:
             jvm.org.apache.hadoop.fs.FileUtil.copy(fs, hadoop_path(src, r.name), fs, hadoop_path(src + "/old", names[k - 1].name), False, fs.getConf())
     done = fixture.fixture_outputs(spark, sf).select(output_name(_run_file(F.col("document_id"))).alias("output"), F.lit("x").alias("x"))
     done.write.partitionBy("output").csv(dst)
+    adopt_outputs(spark, dst)
     return src, dst
 
 

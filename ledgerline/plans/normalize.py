@@ -44,10 +44,14 @@ from ..session import materialize, plan_settings
 INPUT_COLUMNS = list(fixed.CANONICAL_NAMES.values())
 
 
+DATE_COLUMNS = ["invoice_date", "bill_to_date", "bill_from_date"]
+
+
 @dataclass
 class Normalized:
     rows: DataFrame  # document_id, the 40 sheet columns, units_order, row_ord
     doc_stats: DataFrame  # per document: n_rows, extraction_date, pre_error, post_error, n_kept
+    rejects: DataFrame | None = None  # (keep_rejects) document_id, row_ord, errors of every row with any
 
 
 def _err(stage: int, row: Column, code) -> Column:
@@ -62,18 +66,35 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     ``file_col`` names the source file (for the DocID label); without it the
     label is taken from ``doc``. Runs one job (the group table write) when
     called; the returned frames are lazy over that table.
+
+    With ``date_mode="infer"`` a pass over the date columns finds each document's layouts first.
+
+    With ``keep_rejects`` a row with any error goes through the shuffle a second time, as a group of its
+    own, so that one pass and one write hold both the groups and the rejected rows. Its errors are all
+    that the rules find in the row; those in amounts fail a document only on rows that W1 keeps.
     """
     plan_settings(lines.sparkSession)
     present = [c for c in INPUT_COLUMNS if c in lines.columns]
     rows = contract.drop_blank_rows(lines, present)  # C1
     rows = contract.add_optional(rows)  # C4
     label_src = F.col(file_col) if file_col else F.col(doc)
+    layouts = None
+    if params.date_mode == "infer":
+        layouts = materialize(dates.inferred_layouts(rows, doc, row_ord, [c for c in DATE_COLUMNS if c in rows.columns], params.inferred_formats), "date-layouts")
+        rows = rows.join(layouts, doc, "left")
+    elif params.date_mode != "formats":
+        raise ValueError(f"unknown date mode {params.date_mode!r}")
+
+    def date(column: str) -> Column:
+        if layouts is not None:
+            return dates.parse_by_layout(F.col(column), F.col(f"{column}_layout"), params.inferred_formats)
+        return dates.parse_timestamp(F.col(column), params.date_formats)
 
     # P1 errors on every row; the identifier and product name are split out
     # after W1, for the kept rows only.
     parsed = rows.withColumns({
         "_branch": description_branch(F.col("charge_description")),
-        "_inv_ts": dates.parse_timestamp(F.col("invoice_date"), params.date_formats),  # P2
+        "_inv_ts": date("invoice_date"),  # P2
     })
     parsed = parsed.withColumn("description_error", description_error(F.col("charge_description"), F.col("_branch")))
     inv_date = F.date_format(F.col("_inv_ts"), "yyyy-MM-dd")
@@ -89,10 +110,19 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
         "_recurring": ~is_one_time("charge_type"),  # F1
         "_key": text.business_key(F.col("billing_account_number"), F.col("service_id"),
                                   F.col("charge_description")),  # P3
-        "_order": bill_to_order(F.col("bill_to_date"), params.latest_order, params.date_formats),
+        "_order": date("bill_to_date") if layouts is not None and params.latest_order == "parsed"
+                  else bill_to_order(F.col("bill_to_date"), params.latest_order, params.date_formats),
         "doc_label": text.doc_label(label_src),
     })
 
+    keys = [doc, "_key"]
+    if params.keep_rejects:
+        # no row number for a row among its key's, and its own for the copy of a row with errors
+        none = F.lit(None).cast(parsed.schema[row_ord].dataType)
+        parsed = parsed.withColumn("_errors", row_errors(too_long, inv_bad, params))
+        parsed = parsed.withColumn("_reject", F.explode(F.when(F.size("_errors") > 0, F.array(none, ro)).otherwise(F.array(none))))
+        keys.append("_reject")
+
     # 1-2. W1 and per-group partials in one shuffle; written once.
     # Only what the output needs rides through the shuffle (not the charge
     # type, invoice date or service number).
@@ -103,18 +133,23 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     # W1 pick: the max of (order among recurring rows, row); non-recurring rows
     # have a NULL order, which sorts lowest, and are then blanked out.
     recurring_order = F.when(F.col("_recurring"), F.struct(F.col("_order").alias("o"), ro.alias("r")))
-    groups = parsed.groupBy(doc, "_key").agg(
+    groups = parsed.groupBy(*keys).agg(
         F.max(F.struct(recurring_order.alias("k"), F.struct(*carried).alias("v"))).alias("_w1"),
         F.count(F.lit(1)).alias("g_rows"),
         F.min(F.struct(ro.alias("row"), F.col("invoice_date_norm").alias("date"))).alias("g_first"),
         F.min("_pre_err").alias("g_pre_err"),
         F.max(F.when(F.col("_recurring"), F.col("bill_to_date").isNotNull())).alias("g_has_bill_to"),
+        *([F.max(F.when(F.col("_reject").isNotNull(), F.col("_errors"))).alias("g_errors")] if params.keep_rejects else []),
     )
     groups = groups.withColumns({
         "g_kept": F.col("_w1.k").isNotNull(),  # a flag of its own: tests on it do not read the whole row struct
         "w1": F.when(F.col("_w1.k").isNotNull(), F.col("_w1.v")),
     }).drop("_w1")
     groups = materialize(groups, "w1-groups")
+    rejects = None
+    if params.keep_rejects:
+        rejects = groups.filter(F.col("_reject").isNotNull()).select(doc, F.col("_reject").alias("row_ord"), F.col("g_errors").alias("errors"))
+        groups = groups.filter(F.col("_reject").isNull()).drop("_reject", "g_errors")
 
     # Money errors on the kept row of each group (P5), known before the gate.
     w = lambda c: F.col(f"w1.{c}")
@@ -136,6 +171,8 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     # 4. Kept rows with every output value; gate documents with errors.
     good_docs = doc_stats.filter(F.col("pre_error").isNull() & F.col("post_error").isNull()).select(
         doc, "extraction_date", "has_bill_to")
+    if layouts is not None:
+        good_docs = good_docs.join(layouts, doc, "left")
     kept = groups.filter(F.col("g_kept")).select(doc, "w1.*").join(good_docs, doc, "inner")
     kept = parse_charge_description(kept)  # P1 identifier and product name
     # Each reused value gets its own column (computed once per row).
@@ -143,9 +180,8 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
     staged = money.with_money(staged, "discount_amount", "_discount", params.paren_negative)
     staged = money.with_units(staged, "units", "_u")  # P6, P7
     staged = staged.withColumns({
-        "_to": bill_to_for_frequency(dates.parse_timestamp(F.col("bill_to_date"), params.date_formats),
-                                     F.col("bill_to_date"), F.col("has_bill_to")),  # P4, P11
-        "_from": dates.parse_timestamp(F.col("bill_from_date"), params.date_formats),  # P11
+        "_to": bill_to_for_frequency(date("bill_to_date"), F.col("bill_to_date"), F.col("has_bill_to")),  # P4, P11
+        "_from": date("bill_from_date"),  # P11
     })
     staged = staged.withColumns({
         "_freq": dates.billing_frequency(F.col("_to"), F.col("_from")),  # P12
@@ -174,4 +210,13 @@ def normalize_bills(lines: DataFrame, params: JobParams = JobParams(), doc: str
         F.col(row_ord).alias("row_ord"),
     )
     stats = doc_stats.select(doc, "n_rows", "extraction_date", "pre_error", "post_error", "n_kept")
-    return Normalized(out, stats)
+    return Normalized(out, stats, rejects)
+
+
+def row_errors(too_long: Column, bad_invoice_date: Column, params: JobParams) -> Column:
+    """Every error code of a row, in stage order."""
+    _, bad_charge = money.clean_money(F.col("charge_amount"), params.paren_negative)
+    _, bad_discount = money.clean_money(F.col("discount_amount"), params.paren_negative)
+    codes = [(too_long, F.lit(fixed.ERR_ROW_TOO_LONG)), (F.col("description_error").isNotNull(), F.col("description_error")),
+             (bad_invoice_date, F.lit(fixed.ERR_INVOICE_DATE)), (bad_charge, F.lit(fixed.ERR_CHARGE_AMOUNT)), (bad_discount, F.lit(fixed.ERR_DISCOUNT_AMOUNT))]
+    return F.array_compact(F.array(*[F.when(bad, code) for bad, code in codes]))

@@ -7,7 +7,10 @@ from the Spark expressions, so the two sides check each other.
 
 from __future__ import annotations
 
+import re
+
 from .. import fixed
+from ..functions.dates import layout_shape
 from ..sources.fixture import MANIFEST_SQL, OUTPUTS_SQL, with_billing_lines
 
 
@@ -34,6 +37,25 @@ def parse_ts(expr: str) -> str:
     return "COALESCE(" + ", ".join(f"try_strptime({expr}, {q(f)})" for f in fmts) + ")"
 
 
+def layout_sql(fmt: str) -> str:
+    """DuckDB's letters for one of the inferred layouts."""
+    letters = {"yyyy": "%Y", "MMM": "%b", "MM": "%m", "dd": "%d", "M": "%m", "d": "%d", "H": "%H", "mm": "%M", "ss": "%S"}
+    return "".join(letters.get(p, p.strip("'")) for p in re.split("('[^']*'|y+|M+|d+|H+|m+|s+)", fmt))
+
+
+def inferred_dates_sql(table: str) -> str:
+    """For each row of ``table`` (row_id, document_id, invoice_date) the layout of its document's column and the date read by it."""
+    fits = [f"(regexp_full_match(invoice_date, {q(layout_shape(f)[1:-1])}) AND try_strptime(invoice_date, {q(layout_sql(f))}) IS NOT NULL)" for f in fixed.INFERRED_FORMATS]
+    every = [f"bool_and({f}) AS all{k}, arg_min({f}, row_id) AS one{k}" for k, f in enumerate(fits)]
+    number = lambda kind: " ".join(f"WHEN {kind}{k} THEN {k}" for k in range(len(fits)))
+    read = " ".join(f"WHEN {k} THEN CASE WHEN {f} THEN try_strptime(invoice_date, {q(layout_sql(fixed.INFERRED_FORMATS[k]))}) END" for k, f in enumerate(fits))
+    name = " ".join(f"WHEN {k} THEN {q(f)}" for k, f in enumerate(fixed.INFERRED_FORMATS))
+    return f"""found AS (SELECT document_id, {", ".join(every)} FROM {table} WHERE invoice_date IS NOT NULL GROUP BY document_id),
+layouts AS (SELECT document_id, CASE {number("all")} {number("one")} END AS layout FROM found),
+dated_rows AS (SELECT t.row_id, t.document_id, t.invoice_date, CASE l.layout {name} END AS layout, CASE l.layout {read} END AS ts
+  FROM {table} t LEFT JOIN layouts l ON t.document_id = l.document_id)"""
+
+
 def branch_sql(s: str = "charge_description") -> str:
     c = lambda m: f"contains({s}, {q(m)})"
     return (

@@ -145,6 +145,33 @@ def with_billing_lines(sql: str) -> str:
     return f"WITH billing_lines AS ({BILLING_LINES_SQL})\n{sql}"
 
 
+# --- documents with date layouts of their own (row_id, document_id, invoice_date) ---------------
+
+#: Layout of each document's invoice dates: Spark's letters, and DuckDB's. The others keep their two layouts and unreadable texts.
+DATE_LAYOUTS = {
+    "DOC-0": ("yyyy-MM-dd", "%Y-%m-%d"), "DOC-1": ("dd/MM/yyyy", "%d/%m/%Y"), "DOC-2": ("d-MMM-yyyy", "%-d-%b-%Y"), "DOC-3": ("yyyyMMdd", "%Y%m%d"),
+    "DOC-4": ("M/d/yyyy", "%-m/%-d/%Y"), "DOC-6": ("MMM d, yyyy", "%b %-d, %Y"), "DOC-7": ("dd.MM.yyyy", "%d.%m.%Y"), "DOC-9": ("MM-dd-yyyy", "%m-%d-%Y"),
+    "DOC-10": ("yyyy/M/d", "%Y/%-m/%-d"),
+}
+#: Days up to the twelfth only, written day first: nothing in the document says so.
+AMBIGUOUS = "DOC-8"
+
+
+def dated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = billing_lines(spark, sf_dir).select("row_id", "document_id", F.col("invoice_date").alias("_text"))
+    day = F.coalesce(F.try_to_timestamp("_text", F.lit("yyyy-MM-dd")), F.try_to_timestamp("_text", F.lit("M/d/yyyy")))
+    lines = lines.withColumn("_day", day)
+    out = F.when(F.col("document_id") == AMBIGUOUS, F.when(F.dayofmonth("_day") <= 12, F.date_format("_day", "d/M/yyyy")))
+    for doc, (fmt, _) in DATE_LAYOUTS.items():
+        out = out.when(F.col("document_id") == doc, F.date_format("_day", fmt))
+    return lines.select("row_id", "document_id", out.otherwise(F.col("_text")).alias("invoice_date"))
+
+
+DATED_LINES_SQL = f"""SELECT row_id, document_id, CASE WHEN document_id = '{AMBIGUOUS}' THEN CASE WHEN day(d) <= 12 THEN strftime(d, '%-d/%-m/%Y') END
+  {" ".join(f"WHEN document_id = '{doc}' THEN strftime(d, '{fmt}')" for doc, (_, fmt) in DATE_LAYOUTS.items())} ELSE invoice_date END AS invoice_date
+FROM (SELECT *, coalesce(try_strptime(invoice_date, '%Y-%m-%d'), try_strptime(invoice_date, '%m/%d/%Y')) AS d FROM billing_lines)"""
+
+
 # --- the fixture run: manifest, sources present, outputs already converted ---
 
 def fixture_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
