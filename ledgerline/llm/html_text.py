@@ -1,24 +1,27 @@
 """Main text of web pages by site template removal.
 
 A page is parsed into elements; every block element's subtree is hashed (tag, text
-and children, without attributes). Spark counts, for each host, the distinct articles
-beside which a subtree stands (an article counts by its longest block, so copies and near copies
-of one article are no template); subtrees on many of them (at least ``MIN_PAGES`` and ``SHARE`` of
-the host's) are the site's template and are deleted. Elements that name themselves
+and children, without attributes), and every line of text (what is between block boundaries). Spark counts, for each host,
+the pages that a line is on; lines on at least ``MIN_PAGES`` recur. A subtree is then looked at beside what else its pages say: a page speaks for
+it if most of the page's other text is the page's own (doesn't recur), and pages whose own text has the same
+smallest hash are one article. Subtrees that at least ``MIN_PAGES`` articles speak for are the site's template and are deleted; then
+the same is asked of the rest, until no more are found. So a
+notice of any length goes, while the paragraphs of copies and near copies of an article, which stand beside recurring text,
+stay. The bound doesn't grow with the host. What is inside <article> or <main> is that article's, also where others quote the same passage: no template
+is looked for or deleted there. Elements that name themselves
 something else than article text (menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles, reader comments) are deleted on every page, which also
 covers hosts with few pages. Of the rest, text inside <article> (else <main>) is the
-main text where a page has such an element with text.
+main text if it is at least half of the text.
 
-Scale: two passes over the pages, no shuffle of html or text. Hash lists are
-reduced to distinct (article, subtree) first by a partial aggregate. The
-templates of one host are at most 1 / SHARE times its mean number of subtrees a
-page, a bounded list that is joined back by host (broadcast by Spark only when its
-size is under Spark's own threshold; else a join whose hot host AQE splits).
+Scale: two passes over the pages, no shuffle of html or text: a page is reduced to hashes and lengths, written once. Pairs of host and hash are
+made distinct and counted by partial aggregates; a page's recurring lines come back to it as positions, as many as it has lines. The
+templates of a host are joined back by host (broadcast by Spark only when their
+size is under Spark's own threshold; else a join whose hot host AQE splits). Parsing takes time and memory linear in a page's length.
 
 Defined results: null or empty html, or nothing left, gives an empty text; a null url or
-one without :// belongs to the empty host; rows that repeat a page are extracted alike
-and count as one page.
+one without :// belongs to the empty host; rows that repeat a url are extracted alike
+and count as one page; an empty table gives no rows; columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import html as html_lib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,7 +40,6 @@ from ledgerline.llm.common import materialize, table
 from ledgerline.llm.link_trust import url_host
 
 MIN_PAGES = 5
-SHARE = 0.5
 
 # Fixed values of HTML: elements without content, with raw content, and block elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -114,8 +117,9 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.hash, self.other, self.tag = [-1], [0], [NO], [""]
+        self.span: list[tuple[int, int]] = [(0, 0)]  # of pieces, by element
         self.pieces: list[tuple[int, int, str]] = []
-        self.longest = (0, 0)  # length and hash of the block with most text of its own
+        self._at: dict[str, list[int]] = {}  # places in the stack of a tag's open elements
         self._stack, self._parts, self._block, self._articles = [0], [[]], 0, 0
         at = 0
         search = _TAG.search
@@ -190,51 +194,55 @@ class Page:
                 self.other[n] = self.other[n] if self.tag[n] in OTHER_TAGS else NO
         self._articles += tag in ("article", "main")
         self._block += tag in BLOCK
+        self._at.setdefault(tag, []).append(len(self._stack))
         self._stack.append(len(self.parent) - 1)
+        self.span.append((len(self.pieces), len(self.pieces)))
         self._parts.append([])
 
+    def _last(self, tags: frozenset[str]) -> int:
+        """Place in the stack of the last open element of some tags; 0 without one."""
+        return max((self._at[t][-1] for t in tags if self._at.get(t)), default=0)
+
     def _imply(self, tags: frozenset[str], ends: frozenset[str]) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            tag = self.tag[self._stack[depth]]
-            if tag in tags:
-                while len(self._stack) > depth:
-                    self._pop()
-                if len(tags) > 3:  # a table section closes rows and cells alike
-                    self._imply(tags, ends)
-                return
-            if tag in ends:
+        while (depth := self._last(tags)) > self._last(ends):
+            while len(self._stack) > depth:
+                self._pop()
+            if len(tags) <= 3:  # a table section closes rows and cells alike
                 return
 
     def _close(self, tag: str) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            if self.tag[self._stack[depth]] == tag:
-                while len(self._stack) > depth:
-                    self._pop()
-                return
+        if depth := self._last(frozenset((tag,))):
+            while len(self._stack) > depth:
+                self._pop()
 
     def _pop(self) -> None:
         n, parts = self._stack.pop(), self._parts.pop()
         tag = self.tag[n]
+        self._at[tag].pop()
+        self.span[n] = (self.span[n][0], len(self.pieces))
         self._block += tag in BLOCK
         self._articles -= tag in ("article", "main")
         if parts and tag not in RAW:
             digest = xxhash.xxh64_intdigest("\x1f".join((tag, *parts)).encode("utf-8", "replace"))
-            if tag in BLOCK and not self.other[n]:
-                own = sum(len(p) for p in parts if p[0] != "\x1e")
-                self.longest = max(self.longest, (own, digest >> 1))
             if tag in BLOCK and tag not in KEPT_WHOLE:
-                self.hash[n] = (digest - (1 << 64) if digest >> 63 else digest) or 1
+                self.hash[n] = signed(digest) or 1
             self._parts[-1].append(f"\x1e{digest:x}")
 
-    def text(self, template: frozenset[int] | set[int] = frozenset()) -> str:
-        """The main text, without subtrees whose hash is in ``template``."""
+    def _parts_of_page(self, template: frozenset[int] | set[int] = frozenset()) -> tuple[list[bool], list[int]]:
+        """Of each element, whether it is deleted, and whether it is inside <article> (2) or <main> (1)."""
         gone, within = [False] * len(self.parent), [0] * len(self.parent)
         for n in range(1, len(self.parent)):
             up = self.parent[n]
-            gone[n] = gone[up] or self.other[n] or self.hash[n] in template
             within[n] = max(within[up], (self.tag[n] == "article") * 2, int(self.tag[n] == "main"))
+            gone[n] = bool(gone[up] or self.other[n] or (not within[n] and self.hash[n] in template))
+        return gone, within
+
+    def text(self, template: frozenset[int] | set[int] = frozenset()) -> str:
+        """The main text, without subtrees whose hash is in ``template``."""
+        gone, within = self._parts_of_page(template)
         kept = [(within[n], block, text) for n, block, text in self.pieces if not gone[n]]
-        inside = max((w for w, _, text in kept if not text.isspace()), default=0)
+        sizes = [sum(len("".join(text.split())) for w, _, text in kept if w >= inside) for inside in range(3)]
+        inside = next(w for w in (2, 1, 0) if sizes[w] and 2 * sizes[w] >= sizes[0] or not w)
         blocks: dict[int, list[str]] = {}
         for w, block, text in kept:
             if w >= inside:
@@ -242,37 +250,107 @@ class Page:
         lines = (" ".join("".join(parts).split()) for parts in blocks.values())
         return "\n".join(line for line in lines if line)
 
-
-def subtree_hashes(pages: DataFrame) -> DataFrame:
-    """(host, article, hashes) of each page: its host, its longest block's hash and its subtrees'."""
+    def profile(self) -> tuple[list[int], list[int], list[tuple[int, int, int]]]:
+        """Hashes and lengths of the lines outside of deleted elements, and (hash, first line, end) of the subtrees
+        there that are outside of <article> and <main>."""
+        gone, within = self._parts_of_page()
+        parts: dict[int, list[str]] = {}
+        for n, block, text in self.pieces:
+            if not gone[n]:
+                parts.setdefault(block, []).append(text)
+        lines = {block: line for block, p in parts.items() if (line := " ".join("".join(p).split()))}
+        number = {block: i for i, block in enumerate(lines)}
+        before, seen = [0], 0  # lines begun before each piece
+        for n, block, _ in self.pieces:
+            if not gone[n] and number.get(block, -1) >= seen:
+                seen = number[block] + 1
+            before.append(seen)
+        trees = [(h, before[a], before[z]) for h, (a, z), out, inside in zip(self.hash, self.span, gone, within, strict=True) if h and not out and not inside and before[z] > before[a]]
+        return [signed(xxhash.xxh64_intdigest(line)) for line in lines.values()], [len(line) for line in lines.values()], trees
+
+
+def signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+def articles_beside(lines: list[int], sizes: list[int], trees: list[tuple[int, int, int]], recurring: list[int], known: frozenset[int] | set[int] = frozenset()) -> list[tuple[int, int]]:
+    """(subtree, article) for the subtrees that a page speaks for: most of the text outside of it, and outside of
+    ``known`` templates, is the page's own. The article is the smallest hash of the page's own lines there."""
+    size, again = np.array(sizes, np.int64), np.zeros(len(lines), bool)
+    again[recurring] = True
+    for h, a, z in trees:
+        if h in known:
+            size[a:z], again[a:z] = 0, True
+    total, repeated = (np.concatenate([[0], np.cumsum(x)]) for x in (size, size * again))
+    most = np.iinfo(np.int64).max
+    own = np.where(again, most, np.array(lines, np.int64))
+    ahead = np.minimum.accumulate(np.concatenate([[most], own]))
+    behind = np.minimum.accumulate(np.concatenate([own, [most]])[::-1])[::-1]
+    found = []
+    for h, a, z in trees:
+        rest = total[-1] - (total[z] - total[a])
+        own_rest = rest - (repeated[-1] - (repeated[z] - repeated[a]))
+        if h not in known and total[z] > total[a] and own_rest > 0 and 2 * own_rest >= rest:
+            found.append((h, int(min(ahead[a], behind[z]))))
+    return found
+
+
+def page_profiles(pages: DataFrame) -> DataFrame:
+    """(row, host, page, lines, sizes, trees) of each page; ``page`` is its url's hash."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = pa.struct([("h", pa.int64()), ("a", pa.int32()), ("z", pa.int32())])
         for b in batches:
-            hosts, articles, hashes = [], [], []
-            for url, source in zip(b.column(0), b.column(1), strict=True):
-                page = Page(source.as_py() or "")
+            hosts, profiles = [], []
+            for url, source in zip(b.column(1), b.column(2), strict=True):
                 hosts.append(host_of(url.as_py()))
-                articles.append(page.longest[1])
-                hashes.append(list({h for h in page.hash if h}))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(articles, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], names=["host", "article", "hashes"])
-
-    return pages.select("url", "html").mapInArrow(scan, "host string, article long, hashes array<long>")
-
-
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, template): the hashes of each host's recurring subtrees."""
-    # the null hash counts the host's articles in the same shuffle
-    each = subtree_hashes(pages).select("host", "article", F.explode(F.concat(F.array(F.lit(None).cast("long")), "hashes")).alias("hash"))
-    counted = each.distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
-    total = counted.filter("hash is null").select("host", F.col("n").alias("pages"))
-    often = counted.filter(F.col("hash").isNotNull() & (F.col("n") >= min_pages)).join(total, "host")
-    return often.filter(F.col("n") >= share * F.col("pages")).groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("template"))
-
-
-def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+                profiles.append(Page(source.as_py() or "").profile())
+            trees = [[{"h": h, "a": a, "z": z} for h, a, z in t] for _, _, t in profiles]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(hosts, pa.string()), b.column(3), pa.array([p[0] for p in profiles], pa.list_(pa.int64())),
+                 pa.array([p[1] for p in profiles], pa.list_(pa.int32())), pa.array(trees, pa.list_(tree))],
+                names=["row", "host", "page", "lines", "sizes", "trees"],
+            )
+
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), "url", "html", F.xxhash64("url").alias("page"))
+    return rows.mapInArrow(scan, "row long, host string, page long, lines array<long>, sizes array<int>, trees array<struct<h:long,a:int,z:int>>")
+
+
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, template): the hashes of each host's recurring subtrees, as a written table."""
+    profiles = materialize(page_profiles(pages), "page-profiles")
+    lines = profiles.select("row", "host", "page", F.posexplode("lines").alias("at", "line"))
+    counts = lines.select("host", "page", "line").distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    often = counts.filter(F.col("n") >= min_pages).select("host", "line")
+    again = lines.join(often, ["host", "line"], "left_semi").groupBy(F.col("row").alias("_row")).agg(F.collect_list("at").alias("again"))
+    marked = materialize(profiles.join(again, F.col("row") == F.col("_row"), "left").select("host", "lines", "sizes", "trees", "again"), "page-lines")
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts, found = [], []
+            for host, hashes, sizes, trees, again, known in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                some = articles_beside(hashes, sizes, [(t["h"], t["a"], t["z"]) for t in trees], again or [], set(known or ()))
+                hosts += [host] * len(some)
+                found += some
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1))], names=["host", "hash", "article"])
+
+    known = None
+    while True:  # as long as templates found let pages speak for others
+        rows = marked.withColumn("known", F.lit(None).cast("array<long>")) if known is None else marked.join(known, "host").withColumnRenamed("template", "known")
+        said = rows.select("host", "lines", "sizes", "trees", "again", "known").mapInArrow(beside, "host string, hash long, article long").distinct()
+        new = materialize(said.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages).select("host", "hash"), "page-templates")
+        if known is not None and new.isEmpty():
+            return known
+        before = new if known is None else new.unionByName(known.select("host", F.explode("template").alias("hash")))
+        known = materialize(before.groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("template")), "host-templates")
+        if new.isEmpty():
+            return known
+
+
+def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(page_id, url, text) of each row of ``pages`` (page_id, url, html)."""
     # written first: Spark then knows its size, and doesn't shuffle the html for a join with a small table
-    found = materialize(templates(pages, min_pages, share), "site-templates")
+    found = templates(pages, min_pages)
     rows = pages.select("page_id", "url", "html").withColumn("host", url_host(F.col("url"))).join(found, "host", "left")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,11 +6,12 @@ more than ``LONGEST`` characters (scripts without spaces, joined words) is read
 words, its overlapping parts. A GRU reads a window of words in both directions, attention weighs its states, and a linear layer
 gives the window's logit. All overlapping windows of the whole text are scored (half
 a window apart, the last one at the text's end); the largest logit, with the number of
-windows, gives the document's score by a logistic curve fitted on training documents.
+windows, gives the document's score by a logistic curve. The curve is fitted on the same two numbers, taken over all
+windows of the training documents' whole texts.
 
-Training is numpy on the driver, on a bounded sample: the ``toxic_docs`` and ``clean_docs``
-labelled documents whose hash is smallest, with at most ``doc_windows`` evenly spread
-windows each. Every window of a clean document is an example of label 0; of a toxic document
+Training is numpy on the driver, on a bounded sample: of the ``toxic_docs`` and ``clean_docs``
+labelled documents whose hash is smallest, those of up to ``sample_chars`` characters, each with all windows of its whole
+text. Every window of a clean document is an example of label 0; of a toxic document
 the window that the model finds most toxic is one of label 1 (in the first pass, all are).
 
 Scale: the sample's ids are broadcast (their number is a parameter), so texts aren't
@@ -40,7 +41,7 @@ WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIMS, CHAR_DIMS, ATTENTION = 8, 8, 8, 8
 GRAMS = 1 << 13
 LEAST_DOCS = 4  # training documents that a word must be in to have a vector
-TOXIC_DOCS, CLEAN_DOCS, DOC_WINDOWS = 800, 1200, 16
+TOXIC_DOCS, CLEAN_DOCS, SAMPLE_CHARS = 600, 900, 100_000
 PASSES, BATCH_DOCS, RATE = 4, 40, 0.01
 LONGEST, OVERLAP = 64, 16  # characters of a word, and shared by the parts of a longer one
 KNOWN_WORDS = 200_000  # words whose projections a task remembers
@@ -225,8 +226,8 @@ def padded(windows: list[list[int]]) -> tuple[np.ndarray, np.ndarray | None]:
     return index, (np.arange(WINDOW) < np.array([[len(w)] for w in windows])).astype(np.float32)
 
 
-def fit(docs: list[tuple[int, list[list[str]]]], seed: int = 5, passes: int = PASSES, rate: float = RATE) -> tuple[Model, dict[str, int], np.ndarray]:
-    """(model, rows of the vocabulary, curve) from (label, windows of words) of each document."""
+def fit(docs: list[tuple[int, list[list[str]]]], seed: int = 5, passes: int = PASSES, rate: float = RATE) -> tuple[Model, dict[str, int]]:
+    """(model, rows of the vocabulary) from (label, windows of words) of each document."""
     rng = np.random.default_rng(seed)
     seen = Counter(w for _, windows in docs for w in {w for window in windows for w in window})
     rows = {w: i + 1 for i, w in enumerate(sorted(w for w, n in seen.items() if n >= LEAST_DOCS))}
@@ -264,11 +265,7 @@ def fit(docs: list[tuple[int, list[list[str]]]], seed: int = 5, passes: int = PA
             share = np.bincount(of, minlength=len(used))[of][:, None]
             np.add.at(grads["gram"], flat, d_inputs[of, WORD_DIMS:] / share)
             adam.update(model, grads)
-    scorer = Scorer(model, rows)
-    logits = scorer.windows([[w for w in windows] for _, windows in docs])
-    best = np.array([x.max() if len(x) else 0.0 for x in logits])
-    n = np.array([np.log1p(len(x)) for x in logits])
-    return model, rows, logistic(np.stack([best, n], 1), np.array([y for y, _ in docs], np.float64))
+    return model, rows
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, steps: int = 50) -> np.ndarray:
@@ -318,15 +315,6 @@ class Scorer:
                 out[rows] = forward(self.model, self.gates, index[rows], mask)
         return out
 
-    def windows(self, docs: list[list[list[str]]]) -> list[np.ndarray]:
-        """Logits of given windows of each document."""
-        self._forget()
-        flat = [w for windows in docs for w in windows]
-        numbers = [self.numbers(w) for w in flat]
-        index, _ = padded([list(n) for n in numbers])
-        logits = self._logits(index, np.array([len(n) for n in numbers], np.int64))
-        return np.split(logits, np.cumsum([len(windows) for windows in docs])[:-1])
-
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(largest window logit, number of windows) of each text."""
         best, count = np.full(len(texts), -np.inf, np.float32), np.zeros(len(texts), np.int64)
@@ -367,7 +355,7 @@ class Scorer:
 MOST_WORDS = 20_000  # words of a text whose windows are held at once (a multiple of STRIDE)
 
 
-def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS, doc_windows: int = DOC_WINDOWS, seed: int = 5, **options):
+def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS, sample_chars: int = SAMPLE_CHARS, seed: int = 5, **options):
     """fit() on a bounded sample of the labelled rows that may be learned from; a
     number (the only label) if they don't hold both labels."""
     known = labels.filter(in_training(F.col("doc_id")) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -380,21 +368,31 @@ def train(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clea
             windows = []
             for text in b.column(2).to_pylist():
                 words = words_of(text or "")
-                starts = window_starts(len(words))
-                if len(starts) > doc_windows:
-                    starts = [starts[i * len(starts) // doc_windows] for i in range(doc_windows)]
-                windows.append([" ".join(words[s : s + WINDOW]) for s in starts])
+                windows.append([" ".join(words[s : s + WINDOW]) for s in window_starts(len(words))])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(windows, pa.list_(pa.string()))], names=["doc_id", "toxic", "windows"])
 
-    # at most toxic_docs + clean_docs ids are broadcast, and as many documents' windows collected
+    # at most toxic_docs + clean_docs ids are broadcast, and as many texts of at most sample_chars characters collected
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
+    texts = texts.filter(F.coalesce(F.length("text"), F.lit(0)) <= sample_chars)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = texts.mapInArrow(cut, f"doc_id {id_type}, toxic {labels.schema['toxic'].dataType.simpleString()}, windows array<string>").collect()
     rows = sorted((r["doc_id"], int(r["toxic"]), list(r["windows"])) for r in rows)
     found = {y for _, y, _ in rows}
     if len(found) < 2:
         return float(found.pop()) if found else 0.0
-    return fit([(y, [w.split(" ") for w in windows]) for _, y, windows in rows], seed, **options)
+    trained = fit([(y, [w.split(" ") for w in windows]) for _, y, windows in rows], seed, **options)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*trained)
+        for b in batches:
+            best, count = scorer.texts([t or "" for t in b.column(2).to_pylist()])
+            best = np.where(count > 0, best, 0.0)  # a text without words has no windows
+            yield pa.RecordBatch.from_arrays([b.column(1).cast(pa.int64()), pa.array(best, pa.float64()), pa.array(count, pa.int64())], names=["toxic", "best", "windows"])
+
+    # the curve's statistic is the one that scoring uses: over all windows of the whole texts; three numbers a document come back
+    seen = sorted(map(tuple, texts.mapInArrow(whole, "toxic long, best double, windows long").collect()))
+    label, best, n = (np.array(c, np.float64) for c in zip(*seen, strict=True))
+    return *trained, logistic(np.stack([best, np.log1p(n)], 1), label)
 
 
 def score_toxicity(docs: DataFrame, model) -> DataFrame:

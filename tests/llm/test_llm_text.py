@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -85,6 +86,91 @@ def test_recurring_subtrees_go_and_copies_stay(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+NOTICE = "All rights in these pages are reserved by their owners, " + "and no part of them may be used in any way " * 12
+
+
+def site(rng):
+    """Pages of four hosts: unnamed notices longer than every paragraph, sections with blocks of their own, paragraphs in spans,
+    quoted passages, copies and near copies."""
+    words = lambda n: " ".join(rng.choices(["pa", "lo", "mi", "ru", "se", "ta", "vo", "ne"], k=n))
+    rows, own = [], {}
+    for i in range(60):
+        paragraphs = [words(rng.randint(12, 40)) for _ in range(rng.randint(2, 5))]
+        inner = "".join(f"<p><span>{p}</span></p>" for p in paragraphs)
+        section = f"<div><b>Section {i % 2}</b> of this site</div>"  # on half of the pages
+        rows.append((i, f"http://a.x/{i}", f"<body><div class='wrap'>{section}<div>{inner}</div><div>{NOTICE}</div></div></body>"))
+        own[i] = "\n".join(paragraphs)
+    quoted = words(30)
+    for i in range(100, 112):  # a passage that articles quote
+        text = words(60)
+        rows.append((i, f"http://b.x/{i}", f"<div>{NOTICE}</div><article><p>{text}</p><p>{quoted}</p></article>"))
+        own[i] = f"{text}\n{quoted}"
+    article = [words(30) for _ in range(6)]
+    for i in range(200, 220):  # copies, and near copies with one paragraph changed
+        mine = article if i % 2 else [*article[: i % 6], words(30), *article[i % 6 + 1 :]]
+        rows.append((i, f"http://c.x/{i}", "".join(f"<p>{p}</p>" for p in mine)))
+        own[i] = "\n".join(mine)
+    for i in range(300, 304):  # too few pages
+        rows.append((i, f"http://d.x/{i}", f"<p>{words(40)}</p><div>Four of us</div>"))
+        own[i] = rows[-1][2][3:].replace("</p><div>", "\n").replace("</div>", "")
+    return rows, own
+
+
+def brute_templates(rows, least=html_text.MIN_PAGES):
+    """{host: {subtree}} by looking at all subtrees of all pages of a host."""
+    hosts = {}
+    for _, url, source in rows:
+        hosts.setdefault(html_text.host_of(url), {})[url] = html_text.Page(source or "").profile()
+    found = {}
+    for host, pages in hosts.items():
+        on = {}
+        for url, (lines, _, _) in pages.items():
+            for h in lines:
+                on.setdefault(h, set()).add(url)
+        known = set()
+        while True:
+            speak = {}
+            for lines, sizes, trees in pages.values():
+                dropped = {k for h, a, z in trees if h in known for k in range(a, z)}
+                for h, a, z in trees:
+                    rest = [(x, n) for k, (x, n) in enumerate(zip(lines, sizes, strict=True)) if not a <= k < z and k not in dropped]
+                    mine = [(x, n) for x, n in rest if len(on[x]) < least]
+                    if mine and 2 * sum(n for _, n in mine) >= sum(n for _, n in rest) and not dropped >= set(range(a, z)):
+                        speak.setdefault(h, set()).add(min(x for x, _ in mine))
+            new = {h for h, articles in speak.items() if len(articles) >= least} - known
+            if not new:
+                break
+            known |= new
+        if known:
+            found[host] = known
+    return found
+
+
+def test_unnamed_site_blocks_go_and_articles_stay(spark):
+    rows, own = site(random.Random(3))
+    pages = spark.createDataFrame([(*r, "clash") for r in rows + rows[:5]], "page_id long, url string, html string, host string").repartition(4)
+    found = {r.host: set(r.template) for r in html_text.templates(pages).collect()}
+    assert found == brute_templates(rows) and set(found) == {"a.x", "b.x"}
+    got = html_text.extract_text(pages).collect()
+    assert len(got) == len(rows) + 5
+    for r in got:
+        assert r.text == own[r.page_id], r.page_id
+
+
+def test_text_outside_of_a_small_article_stays():
+    text = lambda source: html_text.Page(source).text()
+    page = "<h1>Head</h1><p>the article of this page, a paragraph</p><article class=card>teaser</article><p>and its rest</p>"
+    assert text(page) == "Head\nthe article of this page, a paragraph\nteaser\nand its rest"
+    assert text("<p>x</p><article>most of the text is here</article>") == "most of the text is here"
+
+
+@pytest.mark.parametrize("source", ["<b>" * 100_000 + "</i>" * 100_000, "<p><table>" + "<b>" * 50_000 + "<ul>" * 50_000, "<p>" * 200_000, "<div>" * 100_000])
+def test_pages_of_odd_tags_in_linear_time(source):
+    started = time.time()
+    assert html_text.Page(source + "end").text() == "end"
+    assert time.time() - started < 20
+
+
 def test_pages_query_keeps_every_page(spark):
     got = html_text.query(spark, SF).toPandas()
     pages = spark.read.parquet(f"{SF}/pages.parquet").toPandas().set_index("page_id")
@@ -287,3 +373,67 @@ def test_learns_planted_words_anywhere_in_a_text(spark):
     assert got[1000] == got[1001] == 0.0 and got[1002] > 0.5
     assert toxicity.train(docs, marks.filter("toxic = 0")) == 0.0
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
+
+
+def plain_logits(model, rows, words):
+    """Logits of all windows of a text, word by word and step by step."""
+    def input_of(word):
+        grams = toxicity.grams_of(word)
+        return np.concatenate([model["word"][rows.get(word, 0)], np.mean([model["gram"][g] for g in grams], axis=0)])
+
+    out = []
+    for start in toxicity.window_starts(len(words)):
+        x = np.array([input_of(w) for w in words[start : start + toxicity.WINDOW]], np.float32)
+        gates = toxicity.project(model, x)
+        index = np.zeros((1, toxicity.WINDOW), np.int64)
+        index[0, : len(x)] = np.arange(len(x))
+        mask = None if len(x) == toxicity.WINDOW else (np.arange(toxicity.WINDOW) < len(x)).astype(np.float32)[None]
+        out.append(float(toxicity.forward(model, gates, index, mask)[0]))
+    return out
+
+
+def test_scorer_equals_windows_one_by_one_and_forgets(monkeypatch):
+    rng = random.Random(4)
+    model = toxicity.new_model(np.random.default_rng(2), 40)
+    rows = {f"w{i}": i + 1 for i in range(40)}
+    texts = ["", *(" ".join(f"w{rng.randint(0, 90)}" for _ in range(rng.choice([1, 5, 31, 32, 33, 200]))) for _ in range(25))]
+    expected = [plain_logits(model, rows, toxicity.words_of(t)) for t in texts]
+    for known in (toxicity.KNOWN_WORDS, 70):  # words are forgotten while texts are scored
+        monkeypatch.setattr(toxicity, "KNOWN_WORDS", known)
+        best, count = toxicity.Scorer(model, rows).texts(texts)
+        assert count.tolist() == [len(e) for e in expected]
+        assert np.allclose(best[1:], [max(e) for e in expected[1:]], atol=1e-4)
+
+
+def test_training_sees_more_words_than_are_remembered(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 300)
+    rows = [(i, " ".join(f"v{i}x{k}" for k in range(40)) + (" rascal" if i % 2 else ""), None, None, None) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.train(docs, spark.createDataFrame([(i, 0, i % 2) for i in range(60)], "doc_id long, quality int, toxic int"), passes=1)
+    assert toxicity.score_toxicity(docs, model).count() == 60
+
+
+# --- long and odd texts, the same for every operator that reads texts
+
+
+def odd_long_texts():
+    rng = random.Random(1)
+    return {
+        "one cue": "password=" * 110_000, "one scheme": "http://" * 140_000, "zeros": "0" * 10_000 + ".1.1.1", "open tags": "<b>" * 100_000 + "</i>" * 100_000,
+        "no spaces": "".join(map(chr, rng.choices(range(0x4E00, 0x9FFF), k=200_000))), "words": " ".join(f"w{i:x}" for i in range(100_000)), "spaces": " " * 500_000,
+    }
+
+
+@pytest.mark.parametrize("name", list(odd_long_texts()))
+def test_anchor_spans_of_long_odd_texts_in_linear_time(name):
+    text = odd_long_texts()[name]
+    started = time.time()
+    spans = anchors.spans_of(text, anchors.automaton())
+    assert time.time() - started < 20
+    assert spans == {"one cue": [("secret", 9, len(text))], "zeros": [("ip", 0, len(text))]}.get(name, [])
+
+
+def test_a_number_of_any_length_is_no_address():
+    found = anchors.automaton()
+    assert anchors.spans_of("0" * 5000 + ".1.1.1", found) == [("ip", 0, 5006)]  # zeros before a number change nothing
+    assert anchors.spans_of("1" * 5000 + ".1.1.1", found) == []
