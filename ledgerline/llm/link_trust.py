@@ -8,7 +8,9 @@ them backwards (a host that links to blocked ones is suspect). A host is blocked
 
     (trust - distrust) / (trust + distrust) < BLOCK_BELOW
 
-and allowed otherwise, also without any evidence. The trust of a host without links
+and allowed otherwise, also without any evidence; trust and distrust that sum to less than ``FAINTEST`` times the smallest
+seed's share are none. Both are summed along paths of links, a step at a time, until what still moves is less than that: no
+number of steps decides a verdict. The trust of a host without links
 out isn't passed on, nor is the distrust of one without links in.
 
 DataFrame functions only. Scale: pages are reduced to host edges and host seeds by
@@ -39,8 +41,8 @@ class Rule(NamedTuple):
 
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
 DAMPING = 0.85
-STEPS = 10
-WRITE_EVERY = 5
+FAINTEST = 1e-6
+WRITE_EVERY = 8
 BLOCK_BELOW = -0.5
 #: An absolute link of an anchor; group 1 is its host.
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
@@ -81,7 +83,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.withColumn("dst", lower(F.col("dst"))).filter("src <> dst and src <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def standings(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def standings(edges: DataFrame, seeds: DataFrame, faintest: float = FAINTEST, damping: float = DAMPING) -> DataFrame:
     """(host, standing) from edges (src, dst, n) and seeds (host, kind, share):
     kind ``trust`` follows edges, ``distrust`` follows them backwards."""
     out = edges.groupBy("src").agg(F.sum("n").alias("all"))
@@ -89,19 +91,27 @@ def standings(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: f
     ways = edges.join(out, "src").select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("all")).alias("part"))
     ways = ways.union(edges.join(back, "dst").select(F.lit("distrust"), "dst", "src", F.col("n") / F.col("all")))
     ways = materialize(ways, "trust-ways")
+    least = (seeds.agg(F.min("share")).first()[0] or 0.0) * faintest
     start = seeds.select("kind", "host", (F.col("share") * (1 - damping)).alias("score"))
-    state = seeds.select("kind", "host", F.col("share").alias("score"))
-    for step in range(0 if ways.isEmpty() else steps):  # without edges nothing moves
-        moved = state.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("score") * F.col("part") * damping).alias("score"))
-        state = moved.union(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (step + 1) % WRITE_EVERY == 0:
-            state = materialize(state, f"trust-step{step}")
+    state, steps, sum_before = start, 0, 0.0
+    # every step adds what has come one link further, at most ``damping`` times the step before; without edges nothing moves
+    while not ways.isEmpty() and damping**steps >= least * (1 - damping):
+        for _ in range(WRITE_EVERY):
+            moved = state.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("score") * F.col("part") * damping).alias("score"))
+            state = moved.union(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        steps += WRITE_EVERY
+        state = materialize(state, f"trust-step{steps}")
+        whole = state.agg(F.sum("score")).first()[0] or 0.0
+        if (whole - sum_before) * damping**WRITE_EVERY / (1 - damping**WRITE_EVERY) < least:
+            break  # all later steps together add less
+        sum_before = whole
     score = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
     both = state.groupBy("host").agg(score("trust").alias("trust"), score("distrust").alias("distrust"))
-    return both.select("host", F.try_divide(F.col("trust") - F.col("distrust"), F.col("trust") + F.col("distrust")).alias("standing"))
+    known = F.col("trust") + F.col("distrust")
+    return both.select("host", F.when(known >= least, (F.col("trust") - F.col("distrust")) / known).alias("standing"))
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, block_below: float = BLOCK_BELOW, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, block_below: float = BLOCK_BELOW, faintest: float = FAINTEST, damping: float = DAMPING) -> DataFrame:
     """(page_id, host, path, rule, verdict) of each row of ``pages`` (page_id, url, html)."""
     judged = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
@@ -111,7 +121,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, block_below: float
     kind = F.when(F.col("by_rule") == "allow", "trust").otherwise("distrust").alias("kind")
     seeds = materialize(counts.join(totals, "by_rule").select(kind, "host", (F.col("n") / F.col("all")).alias("share")), "trust-seeds")
     edges = materialize(host_edges(pages), "trust-edges")
-    by_host = standings(edges, seeds, steps, damping)
+    by_host = standings(edges, seeds, faintest, damping)
     out = judged.join(by_host, "host", "left")
     by_method = F.when(F.coalesce(F.col("standing"), F.lit(0.0)) < block_below, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", by_method).alias("verdict"))
@@ -122,7 +132,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def oracle() -> str:
-    """DuckDB SQL with one CTE for each step."""
+    """DuckDB SQL with a recursive CTE; what is too faint to matter stops by itself."""
     fits = [
         (f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')", r)
         for r in sorted(RULES, key=lambda r: -len(r.host + r.path))
@@ -130,14 +140,8 @@ def oracle() -> str:
     case = lambda value: "CASE " + " ".join(f"WHEN {f} THEN '{value(r)}'" for f, r in fits) + " END"
     az = f"'{_UPPER}', '{_UPPER.lower()}'"
     link = LINK.replace("'", "''")
-    steps = []
-    for k in range(STEPS):
-        steps.append(
-            f"s{k + 1} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM (SELECT s.kind, w.dst AS host, s.score * w.part * {DAMPING} AS score FROM s{k} s "
-            f"JOIN ways w ON s.kind = w.kind AND s.host = w.src UNION ALL SELECT kind, host, share * {1 - DAMPING} FROM seeds) GROUP BY kind, host)"
-        )
     return rf"""
-WITH r AS (
+WITH RECURSIVE r AS (
   SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), h AS (
   SELECT page_id, html, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), {az}) AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM r
@@ -152,14 +156,14 @@ WITH r AS (
 ), ways AS MATERIALIZED (
   SELECT 'trust' AS kind, src, dst, n / sum(n) OVER (PARTITION BY src) AS part FROM e
   UNION ALL SELECT 'distrust', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM e
-), s0 AS (SELECT kind, host, share AS score FROM seeds),
-{",".join(steps)},
-moved AS (SELECT count(*) > 0 AS any_edge FROM e),
-state AS (SELECT * FROM s{STEPS} WHERE (SELECT any_edge FROM moved) UNION ALL SELECT * FROM s0 WHERE NOT (SELECT any_edge FROM moved)),
-both_kinds AS (
-  SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS d FROM state GROUP BY host
+), steps AS (
+  SELECT kind, host, share * {1 - DAMPING} AS score FROM seeds
+  UNION ALL SELECT s.kind, w.dst, sum(s.score * w.part * {DAMPING}) FROM steps s JOIN ways w ON s.kind = w.kind AND s.host = w.src
+  GROUP BY s.kind, w.dst HAVING sum(s.score * w.part * {DAMPING}) > 1e-6 * {FAINTEST} * (SELECT min(share) FROM seeds)
+), both_kinds AS (
+  SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS d FROM steps GROUP BY host
 )
 SELECT j.page_id, j.host, j.path, j.rule,
-       coalesce(by_rule, CASE WHEN coalesce((t - d) / nullif(t + d, 0), 0) < {BLOCK_BELOW} THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(by_rule, CASE WHEN t + d >= {FAINTEST} * (SELECT min(share) FROM seeds) AND (t - d) / (t + d) < {BLOCK_BELOW} THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN both_kinds b ON j.host = b.host
 """

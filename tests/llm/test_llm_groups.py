@@ -352,6 +352,18 @@ def test_trust_equals_sql_on_linked_pages(spark):
     assert link_trust.judge(pages.limit(0)).count() == 0
 
 
+def test_no_number_of_steps_decides_a_verdict(spark):
+    chain = [(i, f"http://h{i}.net/en/x", f"<a href='http://h{i + 1}.net/'>x</a>") for i in range(39)] + [(39, "http://h39.net/en/x", "<a href='http://bad.com/'>x</a>")]
+    other = [(100, "http://bad.com/de/x", ""), (101, "http://good.org/", "<a href='http://friend.net/'>x</a>"), (102, "http://friend.net/en", "")]
+    pages = spark.createDataFrame(chain + other, "page_id long, url string, html string")
+    got = link_trust.judge(pages).toPandas()
+    assert set(got[got.page_id < 40].verdict) == {"block"} and set(got[got.page_id > 100].verdict) == {"allow"}
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    expected = con.sql(link_trust.oracle()).df()
+    assert rows_of(got, list(expected.columns)) == rows_of(expected, list(expected.columns))
+
+
 def test_trust_flows_forward_and_distrust_backward(spark):
     edges = spark.createDataFrame([("good", "friend", 1), ("shady", "bad", 3), ("shady", "other", 1)], "src string, dst string, n long")
     seeds = spark.createDataFrame([("good", "trust", 1.0), ("bad", "distrust", 1.0)], "host string, kind string, share double")
