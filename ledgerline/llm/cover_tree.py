@@ -7,15 +7,15 @@ together. A pair of nodes with centres q, x and covering radii R, S holds no sco
     q.x + |q| S + |x| R + R S
 
 so it is dropped when that is below the worst k-th score among the query node's
-queries. What remains is scored exactly (integers below 2**53 in float64 products,
-larger ones as Python integers). The k best of each pair are merged per query.
+queries. What remains is scored exactly: where the products of a pair of blocks may pass 2**52, bounds are still float64
+(with their rounding added), and scores are Python integers. The k best of each pair are merged per query.
 
 Scale: a task holds one group and one block, whose sizes are parameters. Every query
 has to meet every vector, so data move once per query group; groups are large.
 The hash of the id deals rows, so equal vectors spread over the blocks.
 
 Defined results: vectors that are null or hold null or non-finite components, and
-rows without an id, take no part; vectors of different lengths are not compared; rows
+rows without an id, take no part; components and scores beyond a 64-bit integer count as the nearest one; vectors of different lengths are not compared; rows
 that repeat an id are candidates of their own, but never for a query with that id; a query row
 repeated with the same vector is one query; fewer than k candidates give fewer rows.
 """
@@ -94,11 +94,14 @@ class Search:
     """The k best (score, id) of each query, ties to the smaller id."""
 
     def __init__(self, queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int):
-        self.q, self.x = CoverTree(queries, QUERY_LEAF), CoverTree(points)
+        most = float(abs(queries).max(initial=0)) * float(abs(points).max(initial=0)) * max(1, queries.shape[1])
+        self.whole = None if most < 1 << 52 else (queries.astype(object), points.astype(object))
+        self.q, self.x = CoverTree(queries.astype(np.float64), QUERY_LEAF), CoverTree(points.astype(np.float64))
         self.query_ids, self.ids, self.k = query_ids, ids, k
         self.scores = np.full((len(queries), k), NONE, np.int64)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max, np.int64)
-        self.slack = 1e-6 + 1e-9 * self.q.norm.max() * self.x.norm.max()  # of the bounds' rounding
+        # of the bounds' rounding: a radius is a root of a difference, so it is off by the root of a product's rounding
+        self.slack = 1e-6 + 2e-7 * max(1, queries.shape[1]) ** 0.5 * self.q.norm.max() * self.x.norm.max()
         self.scored = 0
 
     def bounds(self, q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -147,7 +150,11 @@ class Search:
 
     def score(self, queries: np.ndarray, rows: np.ndarray) -> None:
         self.scored += len(queries) * len(rows)
-        scores = (self.q.points[queries] @ self.x.points[rows].T).astype(np.int64)
+        if self.whole is None:
+            scores = (self.q.points[queries] @ self.x.points[rows].T).astype(np.int64)
+        else:
+            exact = self.whole[0][queries] @ self.whole[1][rows].T
+            scores = np.clip(exact, NONE + 1, np.iinfo(np.int64).max).astype(np.int64)
         scores[self.query_ids[queries][:, None] == self.ids[rows][None, :]] = NONE
         useful = ((scores >= self.scores[queries, -1:]) & (scores > NONE)).any(0)
         if not useful.any():
@@ -171,19 +178,10 @@ def top_k_of_block(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFr
     left = left.sort_values(["query_id", "query_no"], ignore_index=True)
     right = right.sort_values("vec_id", kind="stable", ignore_index=True)
     q, x = exact_numbers(left["vector"].tolist()), exact_numbers(right["vector"].tolist())
-    most = float(abs(q).max(initial=0)) * float(abs(x).max(initial=0)) * max(1, q.shape[1])
     query_ids, ids = left["query_id"].to_numpy(), right["vec_id"].to_numpy()
-    if most < 1 << 52:
-        s = Search(q.astype(np.float64), query_ids, x.astype(np.float64), ids, k)
-        s.run()
-        scores, found = s.scores, s.found
-    else:  # float64 products would round: score everything as integers
-        scores, found = np.full((len(q), k), NONE), np.zeros((len(q), k), np.int64)
-        for i, row in enumerate(q.astype(object)):
-            all_scores = [int(v) for v in x.astype(object) @ row]
-            best = sorted((-s, int(n)) for s, n in zip(all_scores, ids, strict=True) if n != query_ids[i])[:k]
-            for j, (s, n) in enumerate(best):
-                scores[i, j], found[i, j] = -s, n
+    s = Search(q, query_ids, x, ids, k)
+    s.run()
+    scores, found = s.scores, s.found
     there = scores > NONE
     row = np.nonzero(there)[0]
     return pd.DataFrame({"query_no": left["query_no"].to_numpy()[row], "query_id": query_ids[row], "vec_id": found[there], "score": scores[there]})

@@ -38,11 +38,12 @@ def brute_top_k(vectors, k):
     for q, v in vectors:
         if q is not None and q % 50 == 0 and v is not None:
             scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), n) for n, w in vectors if n is not None and n != q and w is not None and len(w) == len(v))
+            scores = sorted((-max(1 - 2**63, min(2**63 - 1, -s)), n) for s, n in scores)  # the nearest 64-bit integer
             out += [(q, i + 1, n, -s) for i, (s, n) in enumerate(scores[:k])]
     return sorted(out)
 
 
-@pytest.mark.parametrize("largest", [3, 40, 1 << 28])
+@pytest.mark.parametrize("largest", [3, 40, 1 << 28, 1 << 61])
 def test_top_k_against_all_pairs(spark, largest):
     rng = random.Random(largest)
     vectors = [(i, [rng.randint(-largest, largest) for _ in range(6)]) for i in range(400)]
