@@ -2,8 +2,7 @@
 
 Ids are those of the tokenizers library with its defaults (strings of special
 tokens in a text are their one id) and no added special tokens. The
-pre-tokenizer splits a text into pre-tokens, which merges never cross. Units (a text cut before each
-space that a non-space follows) are encoded once and remembered. A long text that the pre-tokenizer
+pre-tokenizer splits a text into pre-tokens, which merges never cross. A long text that the pre-tokenizer
 leaves in one piece is cut into leaves of ``LEAF_BYTES``; halves are encoded apart and
 joined pairwise: around each join the last and first k tokens are encoded anew as one
 window, and k doubles until the window begins with the left side's token and
@@ -15,7 +14,7 @@ Scale: a text of up to ``long_chars`` is encoded where it was read, without a sh
 boundaries where there are any, else inside pre-tokens), the parts are dealt over all tasks,
 encoded in parallel, and joined document by document; parts are written once, so a lost task
 reads them again. A document's ids must fit a row, as its text does. Time and memory are
-linear in the length of a text, whatever it holds: about 60 bytes a character of one text.
+linear in the length of a text, whatever it holds: about 60 bytes a character of one text's longest stretch without a space.
 
 Defined results: a null or empty text has no tokens and decodes to the empty text;
 repeated rows give repeated rows; an empty table gives no rows; null ids (doc_id) are kept; columns
@@ -40,8 +39,6 @@ LEAF_BYTES = 16_384  # a longer pre-token is encoded as a tree of leaves
 PIECE_BYTES = 262_144  # the bytes of one pre-token that one part of a long text holds
 PART_CHARS = 262_144  # the characters of a part of a long text
 LONG_CHARS = 1_048_576  # longer texts are spread over tasks
-UNIT_CHARS = 64  # longer units are not remembered
-CACHE_UNITS = 200_000  # units remembered in each of two generations
 SLICE_CHARS = 65_536  # characters that the pre-tokenizer is given at once
 OUT_BYTES = 16 << 20  # bytes of an output batch
 
@@ -62,7 +59,7 @@ def byte_chars() -> dict[str, int]:
 
 def units_of(text: str) -> list[str]:
     """The text cut before each space that a non-space follows. No pre-token crosses
-    such a place, so units can be encoded, and remembered, one by one."""
+    such a place, so units can be encoded one by one."""
     head, *parts = text.split(" ")
     units, run = [], [head]
     for p in parts:
@@ -89,7 +86,7 @@ class Codec:
         byte_of = byte_chars()
         ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         # the same merges as the library's: they are in the order of the ids
-        self.bpe = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.bpe = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
         self.encode_bytes = self.bpe._encode_single_piece  # one pre-token's bytes to ids
         self.pre = Tokenizer.from_file(path).pre_tokenizer
         self.leaf_bytes = leaf_bytes
@@ -98,8 +95,8 @@ class Codec:
             self.bytes_of[i] = token
         names = sorted(self.special, key=lambda s: -len(s))
         self.splits = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.unit_chars = leaf_bytes // 4  # UTF-8 has up to four bytes a character
+        self.long_unit = re.compile(rf"[^ ]{{{self.unit_chars}}}|\s{{{self.unit_chars}}}")
 
     # --- long pre-tokens -----------------------------------------------------------------
 
@@ -143,39 +140,32 @@ class Codec:
 
     # --- whole texts -----------------------------------------------------------------------
 
-    def unit(self, unit: str) -> bytes:
-        """The ids of a unit (no string of a special token in it)."""
-        if len(unit) <= self.leaf_bytes // 4:  # UTF-8 has up to four bytes a character
-            return np.array(self.bpe.encode_ordinary(unit), "<u4").tobytes()
+    def short(self, text: str) -> bytes:
+        """The ids of a text without long units or strings of special tokens."""
+        return self.bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+
+    def long(self, unit: str) -> bytes:
         ids: list[int] = []
         for p in self.pre_tokens(unit):
             ids += self.tree(p.encode())
         return np.array(ids, "<u4").tobytes()
 
-    def learn(self, units: list[str]) -> None:
-        if len(self.known) > CACHE_UNITS:  # what was used since the last time stays a generation longer
-            self.older, self.known = self.known, {}
-        for u in set(units):
-            if u not in self.known and len(u) <= UNIT_CHARS:
-                self.known[u] = self.older.get(u) or self.unit(u)
-
     def ordinary(self, text: str) -> list[bytes]:
         """The ids of a text without strings of special tokens, in parts to be joined."""
-        units, found = units_of(text), []
-        for i in range(0, len(units), CACHE_UNITS // 4):
-            some = units[i : i + CACHE_UNITS // 4]
-            try:
-                found += map(self.known.__getitem__, some)
-            except KeyError:
-                del found[i:]
-                self.learn(some)
-                known = self.known
-                found += [known[u] if u in known else self.unit(u) for u in some]
-        return found
+        if not self.long_unit.search(text):
+            return [self.short(text)]
+        found, held = [], []
+        for unit in units_of(text):
+            if len(unit) <= self.unit_chars:
+                held.append(unit)
+                continue
+            found += [self.short("".join(held)), self.long(unit)]
+            held = []
+        return [*found, self.short("".join(held))]
 
     def encode(self, text: str) -> bytes:
         if not self.splits or not self.splits.search(text):
-            return b"".join(self.ordinary(text)) if text else b""
+            return b"".join(self.ordinary(text))
         ids = []
         for i, part in enumerate(self.splits.split(text)):
             if i % 2:
@@ -186,7 +176,7 @@ class Codec:
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return self.bpe.decode_bytes(np.frombuffer(ids, "<u4").tolist()).decode("utf-8", "replace")
 
     # --- long texts in parts -----------------------------------------------------------------
 
