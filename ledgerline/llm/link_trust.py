@@ -20,7 +20,7 @@ their host's standing by id columns only.
 
 Defined results: a null url or one without :// has an empty host and path, fits no rule and
 is allowed; null html has no links; repeated rows are judged alike and count as often; links
-from a host to itself carry nothing.
+from a host to itself carry nothing; html of any length is searched in linear time, by Spark; an empty table gives no rows.
 """
 
 from __future__ import annotations

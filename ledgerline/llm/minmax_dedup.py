@@ -25,7 +25,8 @@ large-star / small-star rounds, each written to the shared folder.
 
 Defined results: a null text is empty; documents without words are linked with
 nothing (n_shingles 0, kept); rows repeating an id are one document for linking; a row without
-an id is linked with nothing, has a null component and is kept.
+an id is linked with nothing, has a null component and is kept. A text is hashed whole, in time linear in its length and about 35
+bytes a byte of it.
 """
 
 from __future__ import annotations

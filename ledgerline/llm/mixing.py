@@ -16,7 +16,7 @@ over many tasks. Nothing but five totals reaches the driver.
 
 Defined results: a null text counts no words; a source without words has target
 0; a null source is a source of its own, last; repeated rows are separate
-documents; an empty table gives an empty mix.
+documents; an empty table gives an empty mix. Texts of any length are counted in linear time, by Spark.
 """
 
 from __future__ import annotations

@@ -413,6 +413,14 @@ def test_training_sees_more_words_than_are_remembered(spark, monkeypatch):
     assert toxicity.score_toxicity(docs, model).count() == 60
 
 
+def test_language_vectors_in_slices_equal_whole_ones(monkeypatch):
+    rng = random.Random(6)
+    texts = ["", "ab", "".join(map(chr, rng.choices(range(0x4E00, 0x5200), k=4000))), *("".join(rng.choices("abcé 你好", k=300)) for _ in range(9))]
+    whole = hyperlang.Encoder().encode(texts)
+    monkeypatch.setattr(hyperlang, "SLICE", 100)
+    assert np.array_equal(hyperlang.Encoder().encode(texts), whole)  # sums of whole numbers
+
+
 # --- long and odd texts, the same for every operator that reads texts
 
 
