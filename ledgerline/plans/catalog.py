@@ -614,21 +614,26 @@ def q_c8(spark, sf):
 # ----------------------------------------------------------------------------------------
 
 # The fixture written as invoice CSV files, one folder per document, with the
-# contract's header texts. DOC-3 is written without two required columns.
+# contract's header texts. DOC-3 is written without two required columns and in another order.
+# Written as odd files, DOC-3 also has many columns of its own, and in DOC-2 a cell has a line break.
 _DISPLAY = {v: k for k, v in fixed.CANONICAL_NAMES.items()}
 _C2_DOC = "DOC-3"
 _C2_DROPPED = ["charge_amount", "invoice_date"]
+_BROKEN_DOC, _BROKEN_CELL, _BREAK = "DOC-2", "service_address_a", '\n"Floor", 2'
 
 
-def write_fixture_csv(spark: SparkSession, sf: str) -> str:
+def write_fixture_csv(spark: SparkSession, sf: str, odd: bool = False) -> str:
     lines = billing_lines(spark, sf)
+    if odd:
+        cell = F.col(_BROKEN_CELL)
+        lines = lines.withColumn(_BROKEN_CELL, F.when(F.col("document_id") == _BROKEN_DOC, F.concat(cell, F.lit(_BREAK))).otherwise(cell))
     path = scratch_path(spark, "fixture-csv")
     cols = [c for c in lines.columns if c in _DISPLAY]
     keep = lines.filter(F.col("document_id") != _C2_DOC).select("document_id", *[F.col(c).alias(_DISPLAY[c]) for c in cols])
     keep.write.partitionBy("document_id").option("header", True).option("escape", '"').csv(path)
-    short = [c for c in reversed(cols) if c not in _C2_DROPPED]  # in another order, too
+    short = [c for c in reversed(cols) if c not in _C2_DROPPED]
     lines.filter(F.col("document_id") == _C2_DOC).select(
-        "document_id", *[F.col(c).alias(_DISPLAY[c]) for c in short]
+        "document_id", *[F.lit("x").alias(f"Own column {i}") for i in range(80 if odd else 0)], *[F.col(c).alias(_DISPLAY[c]) for c in short]
     ).write.mode("append").partitionBy("document_id").option("header", True).option("escape", '"').csv(path)
     return path
 
@@ -640,17 +645,32 @@ def _doc_of_path(c):
 _S1_COLS = [c for c in fixed.CANONICAL_NAMES.values()]
 
 
-@register("s1_scan_bills", with_billing_lines(
-    "SELECT document_id, " + ", ".join(
-        (f"CASE WHEN document_id = '{_C2_DOC}' THEN NULL ELSE NULLIF({c}, '') END AS {c}" if c in _C2_DROPPED else
-         f"NULLIF({c}, '') AS {c}") if c in O.PRESENT_INPUT else
-        (f"'USD' AS {c}" if c == "currency" else f"'' AS {c}")
-        for c in _S1_COLS) + " FROM billing_lines"))
+def _s1_sql(odd: bool) -> str:
+    def cell(c: str) -> str:
+        if c not in O.PRESENT_INPUT:
+            return f"'USD' AS {c}" if c == "currency" else f"'' AS {c}"
+        if c in _C2_DROPPED:
+            return f"CASE WHEN document_id = '{_C2_DOC}' THEN NULL ELSE NULLIF({c}, '') END AS {c}"
+        if odd and c == _BROKEN_CELL:
+            return f"CASE WHEN document_id = '{_BROKEN_DOC}' THEN {c} || chr(10) || {O.q(_BREAK[1:])} ELSE NULLIF({c}, '') END AS {c}"
+        return f"NULLIF({c}, '') AS {c}"
+
+    return with_billing_lines("SELECT document_id, " + ", ".join(map(cell, _S1_COLS)) + " FROM billing_lines")
+
+
+@register("s1_scan_bills", _s1_sql(odd=False))
 def q_s1(spark, sf):
     rows, _ = read_bills(spark, write_fixture_csv(spark, sf))
     return rows.select(_doc_of_path(F.col("path")).alias("document_id"), *_S1_COLS)
 
 
+@register("s1_scan_odd_files", _s1_sql(odd=True))
+def q_s1_odd(spark, sf):
+    """The same with quoted line breaks in one document's files and wide ones of another."""
+    rows, _ = read_bills(spark, write_fixture_csv(spark, sf, odd=True))
+    return rows.select(_doc_of_path(F.col("path")).alias("document_id"), *_S1_COLS)
+
+
 @register("c2_required", with_billing_lines(
     f"SELECT DISTINCT document_id, CASE WHEN document_id = '{_C2_DOC}' THEN "
     f"'Charge Amount, Invoice Date,  are missing.' END AS required_error FROM billing_lines"))
