@@ -78,11 +78,15 @@ def test_sheets_without_a_log_are_adopted(spark, tmp_path):
     for n in ("DOC-1-x.csv", "DOC-2-x.csv"):
         _write_csv(src / n, HEADER, [line("a")])
     spark.createDataFrame([("DOC-1-x", "v")], "output string, c string").write.partitionBy("output").csv(str(dst))
+    _, got = run(spark, tmp_path, ["DOC-1-x.csv", "DOC-2-x.csv"])  # the first run with a log
+    assert got == [DONE, OK]
+    spark.createDataFrame([("DOC-3-x", "v")], "output string, c string").write.mode("append").partitionBy("output").csv(str(dst))
+    assert done(spark, runlog.log_root(str(dst))) == {"DOC-1-x", "DOC-2-x"}  # not listed again
     adopt_outputs(spark, str(dst))
+    assert done(spark, runlog.log_root(str(dst))) == {"DOC-1-x", "DOC-2-x", "DOC-3-x"}
     adopt_outputs(spark, str(dst))  # known by now
-    assert runlog.entries(spark, runlog.log_root(str(dst))).count() == 1
-    _, got = run(spark, tmp_path, ["DOC-1-x.csv", "DOC-2-x.csv"])
-    assert got == [DONE, OK]
+    assert runlog.latest(spark, runlog.log_root(str(dst))).filter("sheet_rows is null").count() == 2
+    assert incomplete_outputs(spark, str(dst)).count() == 0
 
 
 def test_a_failed_document_is_tried_again(spark, tmp_path):
