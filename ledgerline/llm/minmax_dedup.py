@@ -9,12 +9,17 @@ whole band share a bucket and are candidates.
 2. In each bucket every class is paired with the bucket's smallest id, the pairs
    are confirmed on the full sets, and linked classes get a common label (connected
    components). A bucket costs pairs in proportion to its size, not to its square.
-3. Classes of buckets that still hold several labels are compared further, except for
+3. While buckets still hold several labels and it pays, their classes are dealt into small
+   cells, anew in each round, and each class proposes a few partners of another label whose
+   signatures agree most. A round confirms at most ``PROPOSALS`` pairs a class, and every link it
+   finds joins two labels, so texts assembled from one stock of paragraphs come together
+   in a few rounds, without all the pairs between them.
+4. Classes of buckets that hold several labels even then are compared further, except for
    pairs that can't be similar by an exact prefix, position and size filter on their
    shingles, and for pairs whose signatures agree in far too few values. Large groups of
    near copies, or of texts around one common passage, leave few pairs there.
 
-Nothing is capped. A pair just at the threshold is missed with the probability that it shares no
+Nothing is capped: step 3 only decides which pairs step 4 need not look at. A pair just at the threshold is missed with the probability that it shares no
 band, (1 - 0.85^4)^24 < 3e-8 (at 0.8: 4e-6), or that its signatures agree too little, about 1e-8.
 
 Scale: signatures are written once and narrow; texts move only for documents in
@@ -36,7 +41,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -45,6 +50,9 @@ from ledgerline.llm.common import byte_chunks, fresh, materialize, mix64, shingl
 PERMUTATIONS = 48
 BAND_ROWS = 4
 ORDER_SAMPLE, ORDER_LEAST = 8_000, 4
+CELL_CLASSES = 16  # classes of a bucket that meet in one round, on average
+PROPOSALS = 4  # partners a class proposes in one round
+WORTH_TRYING = 50  # rounds go on while one of so many proposed pairs is a link
 LOW_BITS = 0x1111111111111111
 
 
@@ -84,6 +92,15 @@ def band_keys(signature: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return key
 
 
+def low_bits(signature: np.ndarray) -> np.ndarray:
+    """Four mixed bits of each signature value, sixteen values to a number."""
+    low = mix64(signature) & np.uint64(15)
+    out = np.zeros((len(signature), signature.shape[1] // 16), np.uint64)
+    for k in range(16):
+        out |= low[:, k::16] << np.uint64(4 * k)
+    return out
+
+
 def distinct_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, and offsets."""
     hashes, at = shingle_hashes(texts, words)
@@ -97,7 +114,7 @@ def distinct_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarra
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bands): size and 128-bit hash of the set, and its buckets."""
+    """(doc_id, n_shingles, set_a, set_b, bands, bits): size and 128-bit hash of the set, its buckets, and four bits of each signature value."""
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,11 +125,13 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 sizes = np.diff(at)
                 some = np.flatnonzero(sizes)
                 bands: list = [None] * (j - i)
+                bits: list = [None] * (j - i)
                 whole = np.zeros((2, j - i), np.uint64)
                 if len(some):
                     begin = at[some]
-                    for k, bucket in zip(some.tolist(), band_keys(min_max(hashes, np.append(begin, at[-1]))).view(np.int64), strict=True):
-                        bands[k] = bucket
+                    signature = min_max(hashes, np.append(begin, at[-1]))
+                    for k, bucket, low in zip(some.tolist(), band_keys(signature).view(np.int64), low_bits(signature).view(np.int64), strict=True):
+                        bands[k], bits[k] = bucket, low
                     for k, salt in enumerate((np.uint64(1), np.uint64(1 << 40))):
                         whole[k, some] = np.add.reduceat(mix64(hashes + salt), begin)
                 yield pa.RecordBatch.from_pydict({
@@ -121,9 +140,10 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                     "set_a": pa.array(whole[0].view(np.int64), pa.int64()),
                     "set_b": pa.array(whole[1].view(np.int64), pa.int64()),
                     "bands": pa.array(bands, pa.list_(pa.int64())),
+                    "bits": pa.array(bits, pa.list_(pa.int64())),
                 })
 
-    out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, set_a long, set_b long, bands array<long>"
+    out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, set_a long, set_b long, bands array<long>, bits array<long>"
     return docs.select("doc_id", "text").mapInArrow(sketch, out)
 
 
@@ -190,13 +210,21 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     ties = named.join(repeated, "doc_id").join(classes, of_class).filter("doc_id <> rep")
     ties = ties.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     pairs = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    labels = components(linked(pairs, texts, like).union(ties).distinct())
-    found = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = found.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    open_nodes = materialize(found.join(mixed, "bucket").select("node", "label").distinct(), "dedup-open")
+    tried = materialize(pairs, "dedup-leaders")
+    labels = components(linked(tried, texts, like).union(ties).distinct())
+    edges = lambda: labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    signatures = named.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *of_class]).select(F.col("doc_id").alias("node"), "bits").distinct()
+    turn, asked, made = 0, 1, 1
+    while made * WORTH_TRYING >= max(asked, 1):
+        pairs = materialize(proposals(open_buckets(members, labels), signatures, tried, like, turn), "dedup-proposals")
+        links = linked(pairs, texts, like)
+        turn, asked, made, tried = turn + 1, pairs.count(), links.count(), tried.union(pairs)
+        if made:
+            labels = components(edges().union(links))
+    open_nodes = materialize(open_buckets(members, labels).select("node", "label").distinct(), "dedup-open")
     if not open_nodes.isEmpty():
-        pairs = materialize(prefix_pairs(open_nodes, texts, like), "dedup-pairs")
-        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(linked(pairs, texts, like)))
+        pairs = materialize(prefix_pairs(open_nodes, texts, like).join(tried, ["a", "b"], "left_anti"), "dedup-pairs")
+        labels = components(edges().union(linked(pairs, texts, like)))
 
     out = sketch.select("doc_id", *of_class).join(classes, of_class, "left").withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep")))
     out = out.join(labels, F.col("rep") == F.col("node"), "left")
@@ -234,18 +262,52 @@ def signature_bits(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     out = np.zeros((len(at) - 1, 2 * PERMUTATIONS // 16), np.uint64)
     some = np.flatnonzero(np.diff(at))
     if len(some):
-        low = mix64(min_max(hashes.view(np.uint64), np.append(at[some], at[-1]))) & np.uint64(15)
-        for k in range(16):
-            out[some] |= low[:, k::16] << np.uint64(4 * k)
+        out[some] = low_bits(min_max(hashes.view(np.uint64), np.append(at[some], at[-1])))
     return out.view(np.int64)
 
 
-def least_equal(percent: int) -> int:
+def unequal_values(x: list[Column], y: list[Column]) -> Column:
+    """How many of two signatures' four-bit values differ: unequal values leave a bit in
+    their field of the exclusive or."""
+    differ = [a.bitwiseXOR(b) for a, b in zip(x, y, strict=True)]
+    pairs = [d.bitwiseOR(F.shiftrightunsigned(d, 1)) for d in differ]
+    return sum((F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(LOW_BITS))) for d in pairs), F.lit(0))
+
+
+def least_equal(percent: int, deviations: float = 6.3) -> int:
     """How many four-bit values of similar sets' signatures are equal at least, but for
     a chance of about one in 10^8 (6.3 standard deviations; for pairs just at the threshold)."""
     n, j = 2 * PERMUTATIONS, percent / 100
     p = j + (1 - j) / 16
-    return int(n * p - 6.3 * (n * p * (1 - p)) ** 0.5)
+    return int(n * p - deviations * (n * p * (1 - p)) ** 0.5)
+
+
+def open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, bucket, label, low, size) of the buckets that hold several labels, with the
+    smallest of them and the number of classes."""
+    found = members.join(labels, "node", "left").select("node", "bucket", F.coalesce("label", "node").alias("label"))
+    of_bucket = found.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    return found.join(of_bucket.filter("low <> high").drop("high"), "bucket")
+
+
+def proposals(open_rows: DataFrame, signatures: DataFrame, tried: DataFrame, like: Likeness, turn: int) -> DataFrame:
+    """(a, b): for each node outside its bucket's smallest label (its largest group, as a rule), at most
+    PROPOSALS partners of another label, those whose signatures agree most among the nodes it
+    meets, without the pairs ``tried`` (a, b). A bucket is dealt into cells of about CELL_CLASSES
+    nodes, by a hash that each turn changes."""
+    cells = F.greatest(F.lit(1), F.ceil(F.col("size") / CELL_CLASSES))
+    dealt = open_rows.withColumn("cell", F.pmod(F.xxhash64("node", F.lit(turn)), cells)).drop("size")
+    dealt = materialize(dealt.join(signatures, "node"), "dedup-cells")
+    x, y = dealt.filter("label <> low").alias("x"), dealt.alias("y")
+    values = range(2 * PERMUTATIONS // 16)
+    unequal = unequal_values([F.col("x.bits")[k] for k in values], [F.col("y.bits")[k] for k in values])
+    met = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") != F.col("y.label"))
+    met = met & (unequal <= 2 * PERMUTATIONS - least_equal(like.percent, 0))
+    ends = [f("x.node", "y.node").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
+    meetings = x.join(y, met).select(F.col("x.node").alias("x"), *ends, F.pmod("x.bucket", F.lit(PROPOSALS)).alias("nth"), unequal.alias("unequal"))
+    meetings = meetings.join(tried, ["a", "b"], "left_anti")
+    best = meetings.groupBy("x", "nth").agg(F.min(F.struct("unequal", "a", "b")).alias("best"))
+    return best.select("best.a", "best.b").distinct()
 
 
 def prefix_pairs(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
@@ -294,10 +356,7 @@ def prefix_pairs(nodes: DataFrame, texts: DataFrame, like: Likeness) -> DataFram
     overlap = F.least(nx - F.col("x.pos"), ny - F.col("y.pos"))
     fits = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent)
     fits = fits & (overlap * (100 + percent) >= (nx + ny) * percent)
-    # four bits of each signature value: unequal values leave a bit in their field of the exclusive or
-    differ = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in names]
-    pairs = [d.bitwiseOR(F.shiftrightunsigned(d, 1)) for d in differ]
-    unequal = sum((F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(LOW_BITS))) for d in pairs), F.lit(0))
+    unequal = unequal_values([F.col(f"x.{c}") for c in names], [F.col(f"y.{c}") for c in names])
     fits = fits & (unequal <= 2 * PERMUTATIONS - least_equal(percent))
     ends = [f("x.node", "y.node").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
     return x.join(y, fits).select(*ends).distinct()

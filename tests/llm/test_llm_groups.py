@@ -152,6 +152,39 @@ def test_prefix_filter_keeps_every_similar_pair(spark, least, monkeypatch):
     assert minmax_dedup.prefix_pairs(one, texts, minmax_dedup.Likeness(3, 85)).count() == 0  # one label: nothing left to find
 
 
+def test_texts_of_one_stock_need_fewer_pairs_than_they_have_links(spark, monkeypatch):
+    """44 of 50 paragraphs each: most pairs are just below the threshold, and no bucket is free of them."""
+    rng, n = random.Random(1), 1_500
+    stock = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(20)) for _ in range(50)]
+    rows = [(i, " ".join(p for k, p in enumerate(stock) if k not in left_out)) for i in range(n) for left_out in [set(rng.sample(range(50), 6))]]
+    compared, asked = minmax_dedup.compared, []
+
+    def counted(pairs, texts, words):
+        asked.append(pairs.count())
+        return compared(pairs, texts, words)
+
+    monkeypatch.setattr(minmax_dedup, "compared", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minmax_dedup.near_duplicates(docs, minmax_dedup.Likeness(5, 80)).collect()}
+
+    sets = [shingles(t, 5) for _, t in rows]
+    number = {x: k for k, x in enumerate(set().union(*sets))}
+    holds = np.zeros((n, len(number)), np.float32)
+    for i, some in enumerate(sets):
+        holds[i, [number[x] for x in some]] = 1
+    common = np.rint(holds @ holds.T)
+    size = holds.sum(1)
+    link = common * 100 >= 80 * (size[:, None] + size[None, :] - common)
+    label = np.arange(n)
+    while True:
+        least = np.where(link, label[None, :], n).min(1)
+        if (least == label).all():
+            break
+        label = least
+    assert got == dict(enumerate(label.tolist()))
+    assert sum(asked) < (link.sum() - n) // 2
+
+
 def test_dedup_of_odd_rows(spark):
     rows = [(1, "a b c d", 1, "x"), (1, "a b c d", 2, "y"), (2, "A b c d", 3, "z"), (None, "a b c d", 4, "n"), (3, "q r s", 5, "q"), (3, "t u v", 6, "t"), (4, "t u v", 7, "t")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, label long, rep string")
