@@ -7,6 +7,7 @@ from pathlib import Path
 from conftest import SF_SMALL, base_row, lines_df
 from ledgerline.params import JobParams
 from ledgerline.plans import catalog, normalize
+from ledgerline.sources.bills import read_bills
 
 
 def test_output_folders_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
@@ -57,3 +58,13 @@ def test_rejects_write_only_rejects(spark, monkeypatch):
 def test_stages_stay_below_what_the_jvm_compiles(spark):
     catalog.queries()["p1_parse"](spark, SF_SMALL)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_a_record_is_cut_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Billing Account Number,Units,Charge Amount\nA1,2,3\n,,\nA2,NA,4,extra\n")
+    (tmp_path / "b.csv").write_text("Units,Billing Account Number\n5,B1\n")
+    rows, _ = read_bills(spark, str(tmp_path))
+    got = sorted((r.billing_account_number, r.units, r.charge_amount, r.row_too_long) for r in rows.collect())
+    assert got == [("A1", "2", "3", False), ("A2", None, "4", True), ("B1", "5", None, False)]
+    # in the whole plan once for each of the two widths, not for each use of a cell
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 2
