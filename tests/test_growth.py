@@ -2,11 +2,13 @@
 are compiled."""
 
 import re
+import time
 from pathlib import Path
 
 from conftest import SF_SMALL, base_row, lines_df
 from ledgerline.params import JobParams
 from ledgerline.plans import catalog, normalize
+from ledgerline.plans.run import run_manifest
 from ledgerline.sources.bills import read_bills
 
 
@@ -68,3 +70,36 @@ def test_a_record_is_cut_once(spark, tmp_path):
     assert got == [("A1", "2", "3", False), ("A2", None, "4", True), ("B1", "5", None, False)]
     # in the whole plan once for each of the two widths, not for each use of a cell
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 2
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_run_leaves_no_shuffle_files(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    header = ["Billing Account Number", "Charge Description", "Charge Amount", "Discount Amount", "Invoice Date", "Bill From Date", "Bill To Date", "Units"]
+    cells = ["1", "Plain", "10", "0", "2023-01-17", "2023-01-01", "2023-01-31", "2"]
+    (src / "DOC-1-a.csv").write_text("\n".join(map(",".join, [header, cells, cells])) + "\n")
+    manifest = spark.createDataFrame([(0, "DOC-1-a.csv", "a")], "manifest_ord int, file_name string, document_id string")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept = _shuffle_files(spark), spark.conf.get(key)
+    result = run_manifest(spark, manifest, str(src), str(tmp_path / "dst"), JobParams())
+    for _ in range(50):  # they go in the background
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key) == kept
+    assert [(r.status, r.n_rows) for r in result.status.collect()] == [("Success", 2)]
+
+
+def test_one_time_rows_carry_no_values(spark, monkeypatch):
+    shuffled = []
+    monkeypatch.setattr(normalize, "materialize", lambda df, name: shuffled.append(df) or df)
+    rows = [base_row(row_ord=0), base_row(row_ord=1, charge_type="NON-RECURRING"), base_row(row_ord=2, charge_type=None)]
+    kept = normalize.normalize_bills(lines_df(spark, rows), JobParams()).rows
+    assert "_key" not in shuffled[0].columns and kept.count() == 1
+    assert ", v, CASE WHEN" in shuffled[0]._jdf.queryExecution().optimizedPlan().toString()
