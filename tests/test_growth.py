@@ -6,9 +6,14 @@ import time
 from pathlib import Path
 
 from conftest import SF_SMALL, base_row, lines_df
+from pyspark.sql import functions as F
+
+from ledgerline.functions.text import packed_texts, unpacked_texts
+from ledgerline.operators.ordering import ordered_row_number
 from ledgerline.params import JobParams
 from ledgerline.plans import catalog, normalize
 from ledgerline.plans.run import run_manifest
+from ledgerline.session import drop_materialized, materialize
 from ledgerline.sources.bills import read_bills
 
 
@@ -103,3 +108,54 @@ def test_one_time_rows_carry_no_values(spark, monkeypatch):
     kept = normalize.normalize_bills(lines_df(spark, rows), JobParams()).rows
     assert "_key" not in shuffled[0].columns and kept.count() == 1
     assert ", v, CASE WHEN" in shuffled[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_packed_texts_sort_as_their_columns(spark):
+    texts = [None, "", "a", "ab", "a\0", "\0", "\1", "\2", "\0\1", "\1\0", "\1\1", "\1\2", "é"]
+    rows = spark.createDataFrame([(a, b, c) for a in texts for b in texts for c in (None, "", "x")], "a string, b string, c string")
+    got = rows.withColumn("p", packed_texts([F.col(c) for c in "abc"])).withColumn("u", unpacked_texts(F.col("p"))).collect()
+    assert all(r.u == [r.a, r.b, r.c] for r in got)
+    key = lambda r: [(x is not None, (x or "").encode()) for x in (r.a, r.b, r.c)]
+    assert sorted(got, key=key) == sorted(got, key=lambda r: r.p.encode())
+
+
+def test_one_time_rows_are_one_group_of_their_document(spark):
+    rows = [base_row(row_ord=i, service_id=f"S{i}", charge_type="NON-RECURRING" if i else "Recurring") for i in range(4)]
+    norm = normalize.normalize_bills(lines_df(spark, rows), JobParams())
+    assert norm.rows.count() == 1 and norm._groups.count() == 2
+    assert [(r.n_rows, r.n_kept) for r in norm.doc_stats.collect()] == [(4, 1)]
+
+
+def test_equal_rows_tie_goes_by_their_texts(spark):
+    rows = [base_row(row_ord=1, charge_amount=c, discount_amount=d) for c, d in (("9", None), ("10", "1"), ("9", "\x00"), ("9", "\x01"))]
+    norm = normalize.normalize_bills(lines_df(spark, rows), JobParams())
+    assert norm._groups.select("w1.charge_amount", "w1.discount_amount", "w1.row_ord").first() == ("9", "\x01", 1)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    kept = materialize(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "probe")
+    for _ in range(50):  # they go in the background
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and kept.count() == 7
+    folder = Path(kept.inputFiles()[0].removeprefix("file://")).parent
+    drop_materialized(kept)
+    assert not folder.exists()
+
+
+def test_status_reads_the_tables_once(spark):
+    found = catalog.fixture_status(spark, SF_SMALL)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "c_custkey" not in plan  # lines and decisions are written, not computed again
+    assert found.count() == 13
+
+
+def test_rows_are_not_shuffled_to_be_shifted(spark):
+    rows = spark.createDataFrame([(f"D{i % 2}", i, str(i % 5), None if i % 3 else "t") for i in range(40)], "d string, i int, s string, t string")
+    found = ordered_row_number(rows, ["d"], [F.col("i").desc()], num_partitions=3, pack=["s", "t"])
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    want = {(f"D{i % 2}", i, str(i % 5), None if i % 3 else "t", (39 - i) // 2 + 1) for i in range(40)}
+    assert found.columns == ["d", "i", "s", "t", "row_number"] and {tuple(r) for r in found.collect()} == want
