@@ -12,9 +12,9 @@ from ledgerline.functions.text import packed_texts, unpacked_texts
 from ledgerline.operators.ordering import ordered_row_number
 from ledgerline.params import JobParams
 from ledgerline.plans import catalog, normalize
-from ledgerline.plans.run import run_manifest
-from ledgerline.session import drop_materialized, materialize
-from ledgerline.sources.bills import read_bills
+from ledgerline.plans.run import existing_outputs, run_manifest
+from ledgerline.session import drop_materialized, materialize, settings
+from ledgerline.sources.bills import list_files, read_bills
 
 
 def test_output_folders_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
@@ -159,3 +159,13 @@ def test_rows_are_not_shuffled_to_be_shifted(spark):
     assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
     want = {(f"D{i % 2}", i, str(i % 5), None if i % 3 else "t", (39 - i) // 2 + 1) for i in range(40)}
     assert found.columns == ["d", "i", "s", "t", "row_number"] and {tuple(r) for r in found.collect()} == want
+
+
+def test_many_small_files_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"output=a{i}").mkdir()
+        (tmp_path / f"output=a{i}" / "part-0.csv").write_text("x\n")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "1m"}):
+        files = list_files(spark, str(tmp_path))
+        assert files.rdd.getNumPartitions() < 10 and {r.size for r in files.collect()} == {2}
+        assert {r.output for r in existing_outputs(spark, str(tmp_path)).collect()} == {f"a{i}" for i in range(40)}
