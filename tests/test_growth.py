@@ -14,6 +14,7 @@ from ledgerline.params import JobParams
 from ledgerline.plans import catalog, normalize
 from ledgerline.plans.run import existing_outputs, run_manifest
 from ledgerline.session import drop_materialized, materialize, settings
+from ledgerline.sources import fixture
 from ledgerline.sources.bills import list_files, read_bills
 
 
@@ -169,3 +170,18 @@ def test_many_small_files_are_listed_by_few_tasks(spark, tmp_path):
         files = list_files(spark, str(tmp_path))
         assert files.rdd.getNumPartitions() < 10 and {r.size for r in files.collect()} == {2}
         assert {r.output for r in existing_outputs(spark, str(tmp_path)).collect()} == {f"a{i}" for i in range(40)}
+
+
+def test_fixture_files_are_written_from_a_table_that_goes(spark, monkeypatch):
+    made, write = [], fixture.materialize
+    monkeypatch.setattr(fixture, "materialize", lambda df, name: (made.append(write(df, name)), made[-1])[1])
+    catalog.write_fixture_csv(spark, SF_SMALL)
+    assert len(made) == 1 and not Path(made[0].inputFiles()[0].removeprefix("file://")).exists()
+
+
+def test_written_rows_need_no_group_table(spark):
+    norm = normalize.normalize_bills(lines_df(spark, ROWS[:3]), JobParams())
+    assert norm.rows.count() == 0  # one amount is no number
+    groups = Path(norm._groups.inputFiles()[0].removeprefix("file://")).parent
+    norm.drop_groups()
+    assert not groups.exists() and [r.n_rows for r in norm.doc_stats.collect()] == [3]
